@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,10 @@ def stored(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    gc.collect()
+    sc._jvm.System.gc()  # Spark deletes the shuffle files behind the result once the driver collects its garbage
+    return out
 
 
 def words_of(text):

@@ -1,7 +1,7 @@
 """Removal of passages that an earlier document already has, found level by level with windows of doubling length.
 
-A window of `size` words counts as repeated if its words also start in a document of a smaller id. Windows are not
-compared at full length at once: at the first level each window is represented by the least hash among the short spans
+A window of `size` words counts as repeated if its words also start in a document of a smaller id. Documents
+of exactly the same words are settled by one digest each. Other windows are not compared at full length at once: at the first level each window is represented by the least hash among the short spans
 in it (so that equal windows are represented by equal spans, and far fewer spans than words are shuffled). Only the
 windows around spans that occur in two documents go on to the next level, with spans of twice the length, until the
 span is the window itself; there 128 bits of hash of every surviving window are compared. Where nothing survives, the
@@ -18,6 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,11 +28,11 @@ from .common import stored, table
 LAST = (1 << 63) - 1
 
 
-def levels(size: int, shortest: int = 16) -> list[int]:
-    """Lengths of the spans: doubling from `shortest`, the last is `size`."""
-    out = [min(shortest, size)]
-    while out[-1] < size:
-        out.append(min(2 * out[-1], size))
+def levels(size: int, shortest: int = 20) -> list[int]:
+    """Lengths of the spans: each is twice the one before (one less where halving leaves a rest), the last is `size`."""
+    out = [size]
+    while (half := -(-out[0] // 2)) >= shortest:
+        out.insert(0, half)
     return out
 
 
@@ -74,28 +75,44 @@ def _windows_at(batch, lo: int, hi: int, first: np.ndarray, span: int, size: int
 
 
 def _spans(batches, span: int, length: int, size: int):
-    """Spans of `length` words that represent the surviving windows; for the first level also each text's digest."""
+    """Spans of `length` words that represent the surviving windows, for the first level with each text's digest.
+
+    Later levels get along with the packed texts of the documents that still matter.
+    """
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch):
             starts, ends, first = K.words(data, offs)
             window = _windows_at(batch, lo, hi, first, span, size)
             h = K.window_hashes(K.span_hashes(data, starts, ends, 1), length)
             if length < size:
-                k = size - length + 1
-                at = _representatives(h, window[: max(0, len(starts) - size + 1)], k)
+                at = _representatives(h, window[: max(0, len(starts) - size + 1)], size - length + 1)
                 cols = _lists(at, first, h[at].view(np.int64))
             else:
                 at = np.flatnonzero(window)
                 g = K.window_hashes(K.span_hashes(data, starts, ends, 2), length)
                 cols = _lists(at, first, h[at].view(np.int64), g[at].view(np.int64))
             names = ["at", "h", "g"][: len(cols)]
+            texts = (data[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:]))
             if span == 0:
-                texts = (data[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:]))
                 cols += [pa.array(np.diff(first), pa.int64()), pa.array([hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts])]
-                names += ["n_words", "whole_sha256"]
+                names += ["n_words", "whole"]
+            else:
+                cols.append(pa.array([pack(t) for t in texts], pa.binary()))
+                names.append("packed")
             yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, hi - lo) for i in (0, 1)] + cols, names=["doc", "body", *names])
 
 
+def _unpacked(batches):
+    """The batches with their texts unpacked, a few rows at a time."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            at = part.schema.get_field_index("packed")
+            yield part.set_column(at, "text", pa.array([unpack(x) for x in part.column(at).to_pylist()], pa.binary()).cast(pa.large_string()))
+
+
 def _kept(batches, size: int, with_text: bool):
     """The text without the words that windows at the places `at` cover."""
     for batch in batches:
@@ -114,7 +131,7 @@ def _kept(batches, size: int, with_text: bool):
             yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(removed, pa.int64()), pa.array(shas), pa.array(texts, pa.string())], names=["doc", "body", "n_removed", "kept_sha256", "kept_text"])
 
 
-def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=16, with_text=False) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=20, with_text=False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
 
     kept_text is the kept words joined by a space; it is null where no word is removed, and everywhere unless
@@ -123,28 +140,37 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     # A row is known by its id and its text's hash; a null id stands as the largest.
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     key, listed = ["doc", "body"], "doc long, body long, at array<int>, h array<long>"
-    span, digests, live, gone = 0, None, rows, None
-    for length in levels(size, shortest):
+    steps, digests, live = levels(size, shortest), None, rows
+    for span, length in zip([0, *steps], steps):
         last = length == size
-        schema = listed + ", g array<long>" * last + ", n_words long, whole_sha256 string" * (span == 0)
-        found = stored(live.mapInArrow(lambda b, s=span, n=length: _spans(b, s, n, size), schema))
-        digests = digests or found.select(*key, "n_words", "whole_sha256")
+        schema = listed + ", g array<long>" * last + (", n_words long, whole string" if span == 0 else ", packed binary")
+        texts = (lambda b: b) if span == 0 or not steps.index(span) else _unpacked
+        found = stored(live.mapInArrow(lambda b, s=span, n=length, t=texts: _spans(t(b), s, n, size), schema))
+        if span == 0:
+            # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
+            least = found.groupBy("whole").agg(F.min("doc").alias("first"))
+            digests = found = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
+            found = found.where(~F.col("copy"))
         names = ["at", "h", "g"][: 2 + last]
         spans = found.select(*key, F.explode(F.arrays_zip(*names)).alias("s")).select(*key, "s.*")
-        hashes = names[1:]
-        twice = spans.groupBy(*hashes).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
-        hits = spans.join(twice, hashes)
+        twice = spans.groupBy(*names[1:]).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+        hits = spans.join(twice, names[1:])
         # The earliest document of a window still has to be compared at the next level, but loses nothing at the last.
         hits = hits.where("doc > least") if last else hits
-        gone = hits.groupBy(*key).agg(F.array_sort(F.collect_set("at")).alias("at"))
-        # Of the texts only those with surviving spans are kept for the next level.
-        live = live.drop("at").join(gone, key)
-        if not last:
-            live = stored(live)
-        span = length
-    cut = live.select(*key, "text", "at").mapInArrow(lambda b: _kept(b, size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
+        hits = hits.groupBy(*key).agg(F.array_sort(F.collect_set("at")).alias("at"))
+        # Of the texts only those with surviving spans go on, packed from the second level.
+        live = (rows if span == 0 else found.select(*key, "packed")).join(hits, key)
+    texts = (lambda b: b) if len(steps) == 1 else _unpacked
+    cut = live.mapInArrow(lambda b: _kept(texts(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
     doc_id = F.when(F.col("doc") != LAST, F.col("doc")).cast(docs.schema[id_col].dataType)
-    return digests.join(cut, key, "left").select(doc_id.alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"), "kept_text")
+    one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
+    return digests.select(*key, "n_words", "whole", "copy").join(cut, key, "left").select(
+        doc_id.alias("doc_id"),
+        "n_words",
+        one(F.col("n_words"), F.lit(0).cast("long"), "n_removed").alias("n_removed"),
+        one(F.lit(hashlib.sha256().hexdigest()), F.col("whole"), "kept_sha256").alias("kept_sha256"),
+        one(F.lit("") if with_text else F.lit(None).cast("string"), F.lit(None).cast("string"), "kept_text").alias("kept_text"),
+    )
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
