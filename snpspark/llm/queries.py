@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality_rules, substring_dedup
+from . import quality_rules, simhash, substring_dedup
 
 
 def queries() -> dict:
     return {
         "op2_quality_rules": quality_rules.op2_quality_rules,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+        "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
 
 
