@@ -79,7 +79,6 @@ def _spans(batches, span: int, length: int, size: int):
 
     Later levels get along with the packed texts of the documents that still matter.
     """
-    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch):
             starts, ends, first = K.words(data, offs)
@@ -93,16 +92,22 @@ def _spans(batches, span: int, length: int, size: int):
                 g = K.window_hashes(K.span_hashes(data, starts, ends, 2), length)
                 cols = _lists(at, first, h[at].view(np.int64), g[at].view(np.int64))
             names = ["at", "h", "g"][: len(cols)]
-            texts = (data[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:]))
             if span == 0:
+                texts = (data[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:]))
                 cols += [pa.array(np.diff(first), pa.int64()), pa.array([hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts])]
                 names += ["n_words", "whole"]
-            else:
-                cols.append(pa.array([pack(t) for t in texts], pa.binary()))
-                names.append("packed")
             yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, hi - lo) for i in (0, 1)] + cols, names=["doc", "body", *names])
 
 
+def _packed(batches):
+    """The batches with their texts compressed, for the shuffle."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        for lo, hi, data, offs in K.slices(batch):
+            packed = pa.array([pack(data[a:b].tobytes()) for a, b in zip(offs[:-1], offs[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), packed], names=["doc", "body", "packed"])
+
+
 def _unpacked(batches):
     """The batches with their texts unpacked, a few rows at a time."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -131,6 +136,16 @@ def _kept(batches, size: int, with_text: bool):
             yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(removed, pa.int64()), pa.array(shas), pa.array(texts, pa.string())], names=["doc", "body", "n_removed", "kept_sha256", "kept_text"])
 
 
+def _hits(found: DataFrame, last: bool) -> DataFrame:
+    """Places in each document of spans that start in two documents; at the last level, in an earlier one."""
+    names = ["h", "g"][: 1 + last]
+    spans = found.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
+    twice = spans.groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+    # The earliest document of a window still has to be compared at the next level, but loses nothing at the last.
+    hits = spans.join(twice, names).where("doc > least" if last else "true")
+    return hits.groupBy("doc", "body").agg(F.array_sort(F.collect_set("at")).alias("at"))
+
+
 def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=20, with_text=False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
 
@@ -139,32 +154,23 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     """
     # A row is known by its id and its text's hash; a null id stands as the largest.
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
-    key, listed = ["doc", "body"], "doc long, body long, at array<int>, h array<long>"
-    steps, digests, live = levels(size, shortest), None, rows
-    for span, length in zip([0, *steps], steps):
-        last = length == size
-        schema = listed + ", g array<long>" * last + (", n_words long, whole string" if span == 0 else ", packed binary")
-        texts = (lambda b: b) if span == 0 or not steps.index(span) else _unpacked
-        found = stored(live.mapInArrow(lambda b, s=span, n=length, t=texts: _spans(t(b), s, n, size), schema))
-        if span == 0:
-            # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
-            least = found.groupBy("whole").agg(F.min("doc").alias("first"))
-            digests = found = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
-            found = found.where(~F.col("copy"))
-        names = ["at", "h", "g"][: 2 + last]
-        spans = found.select(*key, F.explode(F.arrays_zip(*names)).alias("s")).select(*key, "s.*")
-        twice = spans.groupBy(*names[1:]).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
-        hits = spans.join(twice, names[1:])
-        # The earliest document of a window still has to be compared at the next level, but loses nothing at the last.
-        hits = hits.where("doc > least") if last else hits
-        hits = hits.groupBy(*key).agg(F.array_sort(F.collect_set("at")).alias("at"))
-        # Of the texts only those with surviving spans go on, packed from the second level.
-        live = (rows if span == 0 else found.select(*key, "packed")).join(hits, key)
-    texts = (lambda b: b) if len(steps) == 1 else _unpacked
-    cut = live.mapInArrow(lambda b: _kept(texts(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
+    key, steps = ["doc", "body"], levels(size, shortest)
+    schema = lambda length: "doc long, body long, at array<int>, h array<long>" + ", g array<long>" * (length == size)
+    found = stored(rows.mapInArrow(lambda b: _spans(b, 0, steps[0], size), schema(steps[0]) + ", n_words long, whole string"))
+    # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
+    least = found.groupBy("whole").agg(F.min("doc").alias("first"))
+    found = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
+    digests = found.select(*key, "n_words", "whole", "copy")
+    # Of the texts only those with surviving spans go on.
+    live = rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(found.where(~F.col("copy")), steps[0] == size), key)
+    for span, length in zip(steps, steps[1:]):
+        live = stored(live)
+        found = live.mapInArrow(lambda b, s=span, n=length: _spans(_unpacked(b), s, n, size), schema(length))
+        live = live.select(*key, "packed").join(_hits(found, length == size), key)
+    cut = live.mapInArrow(lambda b: _kept(_unpacked(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
     doc_id = F.when(F.col("doc") != LAST, F.col("doc")).cast(docs.schema[id_col].dataType)
     one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
-    return digests.select(*key, "n_words", "whole", "copy").join(cut, key, "left").select(
+    return digests.join(cut, key, "left").select(
         doc_id.alias("doc_id"),
         "n_words",
         one(F.col("n_words"), F.lit(0).cast("long"), "n_removed").alias("n_removed"),
