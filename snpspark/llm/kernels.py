@@ -136,10 +136,3 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     np.add.at(d, starts, 1)
     np.add.at(d, np.minimum(starts + size, n), -1)
     return np.cumsum(d[:n]) > 0
-
-
-def split_of(ids: pa.Array, parts: int) -> np.ndarray:
-    """crc32 of each id as text, modulo `parts`; a null id counts as the empty text."""
-    import zlib
-
-    return np.fromiter((zlib.crc32(b"" if x is None else str(x).encode()) % parts for x in ids.to_pylist()), np.int64, len(ids))

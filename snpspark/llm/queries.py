@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality_rules, simhash, substring_dedup
+from . import quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_quality_rules": quality_rules.op2_quality_rules,
+        "op5_quality_classifier": quality_classifier.op5_quality_classifier,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
