@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from . import chat_format, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filters
 
 
 def queries() -> dict:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_quality_rules": quality_rules.op2_quality_rules,
+        "op3_url_filters": url_filters.op3_url_filters,
+        "op4_chat_formatting": chat_format.op4_chat_formatting,
         "op5_quality_classifier": quality_classifier.op5_quality_classifier,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
@@ -18,5 +20,7 @@ def queries() -> dict:
 def oracle_sql() -> dict:
     return {
         "op2_quality_rules": quality_rules.SQL,
+        "op3_url_filters": url_filters.SQL,
+        "op4_chat_formatting": chat_format.SQL,
         "op9_substring_dedup": substring_dedup.SQL,
     }
