@@ -26,7 +26,7 @@ def stored(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
     out = df.checkpoint(eager=True)
-    del df
+    del df  # else its lineage would outlive the call
     gc.collect()
     sc._jvm.System.gc()  # Spark deletes the shuffle files behind the result once the driver collects its garbage
     return out

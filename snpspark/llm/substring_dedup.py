@@ -15,6 +15,7 @@ Columns other than the two named ones are ignored. An empty table gives an empty
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -60,18 +61,20 @@ def _lists(at: np.ndarray, first: np.ndarray, *values: np.ndarray) -> list[pa.Ar
     return [pa.ListArray.from_arrays(offs, pa.array(x)) for x in (own, *values)]
 
 
-def _windows_at(batch, lo: int, hi: int, first: np.ndarray, span: int, size: int) -> np.ndarray:
-    """Starts of windows that hold a span of the last level which occurs in two documents."""
-    n = int(first[-1])
-    if span == 0:
-        return K.whole_windows(first, size)
+def _windows_at(batch, lo: int, hi: int, first: np.ndarray, words: np.ndarray, span: int, size: int) -> np.ndarray:
+    """True where a window starts whose representative span of the last level occurs in two documents."""
+    out = K.whole_windows(first, size)
+    if span == 0 or not out.any():
+        return out
     at = batch.column(batch.schema.get_field_index("at")).slice(lo, hi - lo)
-    lens = np.diff(at.offsets.to_numpy()).astype(np.int64)
-    place = at.flatten().to_numpy().astype(np.int64) + np.repeat(first[:-1], lens)
-    hit = np.zeros(n + 1, np.int64)  # a span at p lies in windows that start from p + span - size to p
-    np.add.at(hit, np.maximum(place + span - size, 0), 1)
-    np.add.at(hit, place + 1, -1)
-    return (np.cumsum(hit[:n]) > 0) & K.whole_windows(first, size)
+    place = at.flatten().to_numpy().astype(np.int64) + np.repeat(first[:-1], np.diff(at.offsets.to_numpy()))
+    h, k = K.window_hashes(words, span), size - span + 1
+    live = np.full(len(h), ~K.U(0))
+    live[place] = h[place]
+    fits = _slide(live, k, np.minimum) == _slide(h, k, np.minimum)
+    out[: len(fits)] &= fits
+    out[len(fits) :] = False
+    return out
 
 
 def _spans(batches, span: int, length: int, size: int):
@@ -82,8 +85,9 @@ def _spans(batches, span: int, length: int, size: int):
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch):
             starts, ends, first = K.words(data, offs)
-            window = _windows_at(batch, lo, hi, first, span, size)
-            h = K.window_hashes(K.span_hashes(data, starts, ends, 1), length)
+            words = K.span_hashes(data, starts, ends, 1)
+            window = _windows_at(batch, lo, hi, first, words, span, size)
+            h = K.window_hashes(words, length)
             if length < size:
                 at = _representatives(h, window[: max(0, len(starts) - size + 1)], size - length + 1)
                 cols = _lists(at, first, h[at].view(np.int64))
@@ -161,12 +165,13 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     least = found.groupBy("whole").agg(F.min("doc").alias("first"))
     found = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
     digests = found.select(*key, "n_words", "whole", "copy")
-    # Of the texts only those with surviving spans go on.
-    live = rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(found.where(~F.col("copy")), steps[0] == size), key)
+    # Of the texts only those with surviving spans go on. Nothing may refer to what lies before a stored table: its
+    # shuffle files would stay.
+    keep = lambda df, length: df if length == size else stored(df)
+    live = keep(rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(found.where(~F.col("copy")), steps[0] == size), key), steps[0])
     for span, length in zip(steps, steps[1:]):
-        live = stored(live)
-        found = live.mapInArrow(lambda b, s=span, n=length: _spans(_unpacked(b), s, n, size), schema(length))
-        live = live.select(*key, "packed").join(_hits(found, length == size), key)
+        spans = partial(lambda b, s, n: _spans(_unpacked(b), s, n, size), s=span, n=length)
+        live = keep(live.select(*key, "packed").join(_hits(live.mapInArrow(spans, schema(length)), length == size), key), length)
     cut = live.mapInArrow(lambda b: _kept(_unpacked(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
     doc_id = F.when(F.col("doc") != LAST, F.col("doc")).cast(docs.schema[id_col].dataType)
     one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
