@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filters
+from . import chat_format, decontamination, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filters
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_url_filters": url_filters.op3_url_filters,
         "op4_chat_formatting": chat_format.op4_chat_formatting,
         "op5_quality_classifier": quality_classifier.op5_quality_classifier,
+        "op6_decontamination": decontamination.op6_decontamination,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
@@ -22,5 +23,6 @@ def oracle_sql() -> dict:
         "op2_quality_rules": quality_rules.SQL,
         "op3_url_filters": url_filters.SQL,
         "op4_chat_formatting": chat_format.SQL,
+        "op6_decontamination": decontamination.SQL,
         "op9_substring_dedup": substring_dedup.SQL,
     }
