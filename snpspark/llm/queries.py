@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, quality_classifier, quality_rules, simhash, substring_dedup, suffix_tree, toxicity, url_filters
+from . import chat_format, decontamination, packing, quality_classifier, quality_rules, simhash, substring_dedup, suffix_tree, toxicity, url_filters
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_quality_classifier": quality_classifier.op5_quality_classifier,
         "op6_decontamination": decontamination.op6_decontamination,
         "op7_suffix_tree": suffix_tree.op7_suffix_tree,
+        "op8_packing": packing.op8_packing,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
