@@ -1,17 +1,61 @@
-"""From raw documents to packed training batches, stage by stage."""
+"""From raw documents to packed training batches, stage by stage.
+
+1. quality: documents that the pairwise quality classifier rejects go.
+2. near_dedup: of each group of documents whose sets of five-word shingles have a similarity of 0.8 or more, by
+   SimHash signatures and chains of such links, the one with the smallest id stays.
+3. substring_dedup: passages of 50 words that a document of a smaller id has are cut out; who loses all words goes.
+4. decontamination: documents that hold a ten-word window of a benchmark item go.
+5. packing: the documents left are packed into batches by length; its rows are the pipeline's result.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from snpspark.llm import decontamination, packing, quality_classifier, simhash, substring_dedup
+from snpspark.llm.common import table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return quality_classifier.accepted(docs, quality_classifier.train(docs, labels.where(~quality_classifier.held_out())))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.without_similar(docs)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = substring_dedup.without_passages(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
 
-from snpspark.llm.common import stored, table
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("substring_dedup", substrings), ("decontamination", decontaminate), ("packing", pack)]
 
-STAGES = []
+#: SQL can express neither the trained classifier nor the best boundaries; the stages are tested by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over `documents`; what each keeps is written as Parquet in the shared checkpoint folder."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    folder = f"{folder}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}-{name}")
+            docs = spark.read.parquet(f"{folder}/{k}-{name}")
     return docs

@@ -54,7 +54,7 @@ def _prefixes(docs: DataFrame, windows: DataFrame, most_words: int) -> DataFrame
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", *, size=10, block=50_000, most_words=500_000) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted texts of ids) and contaminated, a row for each row of `docs`."""
+    """doc_id, body (its text's xxhash64), n_words, n_hit, items (sorted texts of ids) and contaminated, a row for each row of `docs`."""
     windows, owners = windows_of(benchmark, item_col, item_text_col, size)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), words_of(F.col(text_col)).alias("w"))
     prefixes = stored(_prefixes(rows, windows, most_words))
@@ -90,10 +90,16 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_
     items = by_row.select("doc_id", "body", F.explode("windows").alias("window_id")).join(owners, "window_id").groupBy("doc_id", "body").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     items = items.withColumnsRenamed({"doc_id": "d", "body": "b"})
     out = by_row.join(items, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("body").eqNullSafe(F.col("b")), "left")
-    out = out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy_"))
+    out = out.select("doc_id", "body", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy_"))
     return out.drop("copy_").withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **limits) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no window of the benchmark."""
+    hit = benchmark_hits(docs, benchmark, id_col, text_col, **limits).where("contaminated").select(F.col("doc_id").alias("hit_id_"), F.col("body").alias("hit_body_"))
+    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("hit_id_")) & (F.xxhash64(text_col) == F.col("hit_body_")), "left_anti")
+
+
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     out = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     sha = F.sha2(F.array_join("items", ",").cast("binary"), 256)

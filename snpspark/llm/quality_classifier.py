@@ -145,20 +145,30 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text",
     return Model().fit(x, got["y"].to_numpy(), cut=cut)
 
 
-def quality_scores(docs: DataFrame, model: Model, id_col="doc_id", text_col="text", keep: tuple = ()) -> DataFrame:
-    """doc_id and score, for each row, with the columns `keep` of the input behind them."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)))
+def quality_scores(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
+    """doc_id and score, for each row."""
+    rows = _rows(docs, id_col, text_col)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    others = [(f"keep_{i}", rows.schema[f"keep_{i}"].dataType.simpleString()) for i in range(len(keep))]
 
     def score(batches):
         for batch in batches:
             for lo, hi, data, offs in K.slices(batch):
                 s = pa.array(held.value.scores(features(data, offs)), pa.float64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), s, *(batch.column(k + 2).slice(lo, hi - lo) for k in range(len(others)))], names=["doc_id", "score", *(n for n, _ in others)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), s], names=["doc_id", "score"])
 
-    schema = ", ".join([f"doc_id {rows.schema['doc_id'].dataType.simpleString()}", "score double", *(f"{n} {k}" for n, k in others)])
-    return rows.mapInArrow(score, schema)
+    return rows.mapInArrow(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def accepted(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose score reaches the model's cut."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        for batch in batches:
+            for lo, hi, data, offs in K.slices(batch, text_col):
+                yield batch.slice(lo, hi - lo).filter(pa.array(held.value.scores(features(data, offs)) >= held.value.cut))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def held_out(id_col="doc_id"):

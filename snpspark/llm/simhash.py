@@ -16,6 +16,7 @@ id unless all its ids are null. Each input row gives a row, repeated rows too. O
 from __future__ import annotations
 
 import itertools
+import math
 from functools import partial
 
 import numpy as np
@@ -29,7 +30,7 @@ from .components import components, forest
 
 TILE = 1024
 PARTS = 4
-_BITS = 64 // PARTS
+_GOLD = K.U(0x9E3779B97F4A7C15)
 # Each bit of a byte as a byte of its own: sums of up to 255 such words don't overflow a place.
 _SPREAD = np.packbits(np.zeros((1, 64), np.uint8), axis=1).view(np.uint64).repeat(256)
 for _b in range(256):
@@ -80,61 +81,136 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", *, shingle=3
     return rows.mapInArrow(lambda b: _fingerprinted(b, shingle), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
-def _linked(batches, radius: int):
+def _signed(batches, shingle: int, words: int):
+    """`words` longs of majority bits over each text's distinct word shingles."""
+    for batch in batches:
+        for lo, hi, data, offs in K.slices(batch):
+            data = K.LOWER[data]
+            starts, ends, first = K.words(data, offs)
+            h = K.span_hashes(data, starts, ends, 5)
+            n = np.diff(first)
+            row = K.row_of(first)
+            w = K.window_hashes(h, shingle)
+            at = np.flatnonzero(K.whole_windows(first, shingle)[: len(w)])
+            short = np.flatnonzero((n > 0) & (n < shingle))  # a shorter text is one shingle
+            own = np.array([K.window_hashes(h[first[i] : first[i + 1]], int(n[i]))[0] for i in short], np.uint64)
+            of, w = np.concatenate([row[at], short]), np.concatenate([w[at], own])
+            _, kept = np.unique(K.mix(w + of.astype(np.uint64) * _GOLD), return_index=True)
+            kept = kept[np.argsort(of[kept], kind="stable")]
+            of, w = of[kept], w[kept]
+            cut = np.searchsorted(of, np.arange(hi - lo + 1))
+            sig = np.stack([_majority(K.mix(w + K.U((k + 1) * int(_GOLD) % 2**64)), cut) for k in range(words)], 1)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(sig.view(np.int64).ravel()), words).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["doc_id", "sig"])
+
+
+def _near(x: np.ndarray, y: np.ndarray, own: bool, radius: int, whole: int):
+    """Pairs of rows whose first longs differ in at most `radius` bits and all longs in at most `whole`, in blocks."""
+    step = max(1, (1 << 20) // max(1, len(y)))
+    for i in range(0, len(x), step):
+        near = np.bitwise_count(x[i : i + step, :1] ^ y[:, 0][None, :]) <= radius
+        if own:
+            near &= np.arange(i, i + len(near))[:, None] < np.arange(len(y))[None, :]
+        p, q = np.nonzero(near)
+        p += i
+        if x.shape[1] > 1:
+            good = [np.bitwise_count(x[p[k : k + 65536]] ^ y[q[k : k + 65536]]).sum(1) <= whole for k in range(0, len(p), 65536)]
+            good = np.concatenate(good) if good else np.zeros(0, bool)
+            p, q = p[good], q[good]
+        if len(p):
+            yield p, q
+
+
+def _linked(batches, radius: int, whole: int):
     """Links within and between tiles, as a forest over all pairs of tiles of a partition."""
     us, vs, held = [], [], 0
     for batch in batches:
-        a, b, same = (batch.column(i) for i in range(3))
-        ao, bo = a.offsets.to_numpy(), b.offsets.to_numpy()
-        av, bv = (x.values.to_numpy() for x in (a, b))
-        for i, own in enumerate(same.to_pylist()):
-            x, y = av[ao[i] : ao[i + 1]], bv[bo[i] : bo[i + 1]]
-            near = np.bitwise_count((x[:, None] ^ y[None, :]).view(np.uint64)) <= radius
-            if own:
-                near = np.triu(near, 1)
-            p, q = np.nonzero(near)
-            if len(p):
+        sides = []
+        for name in ("a", "b"):
+            col = batch.column(batch.schema.get_field_index(name))
+            sig = col.values.field("sig")
+            width = len(sig.values) // max(1, len(col.values))
+            sides.append((col.offsets.to_numpy(), col.values.field("node").to_numpy(), sig.values.to_numpy().view(np.uint64).reshape(-1, width)))
+        (ao, an, av), (bo, bn, bv) = sides
+        for i, own in enumerate(batch.column(batch.schema.get_field_index("own")).to_pylist()):
+            x, y = an[ao[i] : ao[i + 1]], bn[bo[i] : bo[i + 1]]
+            for p, q in _near(av[ao[i] : ao[i + 1]], bv[bo[i] : bo[i + 1]], own, radius, whole):
                 us.append(x[p])
                 vs.append(y[q])
                 held += len(p)
-            if held > 4_000_000:
-                u, v = forest(np.concatenate(us), np.concatenate(vs))
-                us, vs, held = [u], [v], len(u)
+                if held > 2_000_000:
+                    u, v = forest(np.concatenate(us), np.concatenate(vs))
+                    us, vs, held = [u], [v], len(u)
     if held:
         u, v = forest(np.concatenate(us), np.concatenate(vs))
         for k in range(0, len(u), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(u[k : k + 100_000]), pa.array(v[k : k + 100_000])], names=["u", "v"])
 
 
-def links(distinct: DataFrame, *, radius=3, tile=TILE) -> DataFrame:
-    """Links (u, v) that connect what lies within `radius` bits; distinct: one column fp of different fingerprints."""
-    count = lambda k: F.bit_count(F.shiftrightunsigned("fp", _BITS * k).bitwiseAND((1 << _BITS) - 1))
-    base = _BITS + 1
-    place = sum((count(k).cast("int") * base**k for k in range(PARTS)), F.lit(0))
-    placed = distinct.select("fp", place.alias("place"))
-    # At most (_BITS + 1) ** PARTS places, 83,521, whatever the number of fingerprints.
+def links(distinct: DataFrame, *, radius=3, whole=0, parts=PARTS, tile=TILE) -> DataFrame:
+    """Links (u, v) that connect the nodes whose signatures are near.
+
+    distinct: node (a long) and sig (an array of longs, all equally many) of different signatures. The first longs must
+    differ in at most `radius` bits; where there are more longs, all must differ in at most `whole`. Tiles are made by
+    the population counts of `parts` parts of the first.
+    """
+    bits = 64 // parts
+    base = bits + 1
+    first = F.col("sig")[0]
+    count = lambda k: F.bit_count(F.shiftrightunsigned(first, bits * k).bitwiseAND((1 << bits) - 1) if parts > 1 else first)
+    place = sum((count(k).cast("int") * base**k for k in range(parts)), F.lit(0))
+    placed = distinct.select("node", "sig", place.alias("place"))
+    # At most (bits + 1) ** parts places, 83,521 for four, whatever the number of signatures.
     crowd = placed.groupBy("place").agg(F.count("*").alias("n")).select("place", F.ceil(F.col("n") / tile).alias("splits"))
-    tiles = placed.join(F.broadcast(crowd), "place").groupBy("place", F.pmod(F.xxhash64("fp"), "splits").alias("split")).agg(F.collect_list("fp").alias("fps"))
-    tiles = stored(tiles)
-    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=PARTS) if sum(map(abs, d)) <= radius and d >= (0,) * PARTS]
+    split = F.pmod(F.xxhash64("node"), "splits").alias("split")
+    tiles = stored(placed.join(F.broadcast(crowd), "place").groupBy("place", split).agg(F.collect_list(F.struct("node", "sig")).alias("tile")))
+    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius and d >= (0,) * parts]
     moves = F.array(*(F.struct(*(F.lit(x).alias(f"d{k}") for k, x in enumerate(d))) for d in steps))
-    left = tiles.select("place", F.col("split").alias("split_a"), F.col("fps").alias("a"), F.explode(moves).alias("d"))
-    digit = lambda k: F.pmod(F.floor(F.col("place") / base**k), F.lit(base)) + F.col(f"d.d{k}")
-    left = left.where(" and ".join(f"(floor(place / {base**k}) % {base}) + d.d{k} between 0 and {_BITS}" for k in range(PARTS)))
-    left = left.select("split_a", "a", F.col("place").alias("from"), sum((digit(k) * base**k for k in range(PARTS)), F.lit(0)).cast("int").alias("place"))
-    right = tiles.select("place", F.col("split").alias("split_b"), F.col("fps").alias("b"))
+    left = tiles.select("place", F.col("split").alias("split_a"), F.col("tile").alias("a"), F.explode(moves).alias("d"))
+    left = left.where(" and ".join(f"(floor(place / {base**k}) % {base}) + d.d{k} between 0 and {bits}" for k in range(parts)))
+    moved = sum((F.col(f"d.d{k}") * base**k for k in range(parts)), F.col("place"))
+    left = left.select("split_a", "a", F.col("place").alias("from"), moved.cast("int").alias("place"))
+    right = tiles.select("place", F.col("split").alias("split_b"), F.col("tile").alias("b"))
     pairs = left.join(right, "place").where("place <> from or split_a <= split_b")
-    return pairs.select("a", "b", F.expr("place = from and split_a = split_b").alias("own")).mapInArrow(lambda x: _linked(x, radius), "u long, v long")
+    return pairs.select("a", "b", F.expr("place = from and split_a = split_b").alias("own")).mapInArrow(lambda x: _linked(x, radius, whole), "u long, v long")
+
+
+def _grouped(signed: DataFrame, node, **limits) -> DataFrame:
+    """doc_id, sig and component_id, given doc_id and sig; node: what stands for a signature, of sig and `least`."""
+    distinct = stored(signed.groupBy("sig").agg(F.min("doc_id").alias("least")).withColumn("node", node))
+    roots = components(links(distinct.select("node", "sig"), **limits))
+    rooted = distinct.join(roots, distinct["node"] == roots["u"], "left").select("sig", "least", F.coalesce("v", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return signed.join(rooted.select("sig", "root").join(least, "root").select("sig", "component_id"), "sig").select("doc_id", "sig", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", *, shingle=3, radius=3, tile=TILE) -> DataFrame:
     """doc_id, fp and component_id (the smallest id that links reach) for each row of `docs`."""
-    prints = stored(fingerprints(docs, id_col, text_col, shingle=shingle))
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct.select("fp"), radius=radius, tile=tile))
-    rooted = distinct.join(roots, distinct["fp"] == roots["u"], "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    prints = stored(fingerprints(docs, id_col, text_col, shingle=shingle).select("doc_id", F.array("fp").alias("sig")))
+    return _grouped(prints, F.col("sig")[0], radius=radius, tile=tile).select("doc_id", F.col("sig")[0].alias("fp"), "component_id")
+
+
+def similar_documents(docs: DataFrame, id_col="doc_id", text_col="text", *, shingle=5, similarity=0.8, words=8, tile=8192) -> DataFrame:
+    """doc_id and component_id for documents whose sets of word shingles have about `similarity` (Jaccard) or more.
+
+    Signatures of 64 x `words` bits estimate the angle between the sets: at a similarity s each bit differs with chance
+    acos(2s / (1 + s)) / pi. Linked is what lies within that expectation and one standard deviation; before that the
+    first 64 bits must lie within three. At such radii population counts skip few tiles, so the comparisons, a
+    nanosecond each, grow with the square of the number of different signatures.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    limit = lambda n, z: math.floor(n * p + z * math.sqrt(n * p * (1 - p)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    signed = stored(rows.mapInArrow(lambda b: _signed(b, shingle, words), f"doc_id {kind}, sig array<long>"))
+    node = F.coalesce(F.col("least").cast("long"), F.xxhash64("sig"))
+    return _grouped(signed, node, radius=limit(64, 3), whole=limit(64 * words, 1), parts=1, tile=tile).select("doc_id", "component_id")
+
+
+def without_similar(docs: DataFrame, id_col="doc_id", text_col="text", **limits) -> DataFrame:
+    """The rows of `docs`, with all their columns, of which none with a smaller id is similar, by chains too."""
+    later = similar_documents(docs, id_col, text_col, **limits).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(later, id_col, "left_anti").select(docs.columns)
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -151,7 +151,7 @@ def _hits(found: DataFrame, last: bool) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=20, with_text=False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
+    """doc_id, body (its text's xxhash64), n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
 
     kept_text is the kept words joined by a space; it is null where no word is removed, and everywhere unless
     `with_text` is set. Ids are integers.
@@ -178,6 +178,7 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
     return digests.join(cut, key, "left").select(
         doc_id.alias("doc_id"),
+        "body",
         "n_words",
         one(F.col("n_words"), F.lit(0).cast("long"), "n_removed").alias("n_removed"),
         one(F.lit(hashlib.sha256().hexdigest()), F.col("whole"), "kept_sha256").alias("kept_sha256"),
@@ -185,6 +186,18 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     )
 
 
+def without_passages(docs: DataFrame, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
+    """The rows of `docs`, with all their columns, their texts without the repeated passages.
+
+    A text that loses words is left as its kept words, joined by a space; a row that loses all its words goes.
+    """
+    cut = repeated_passages(docs, id_col, text_col, with_text=True, **sizes).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("cut_id_"), F.col("body").alias("cut_body_"), F.col("kept_text").alias("kept_text_")).dropDuplicates(["cut_id_", "cut_body_"])
+    same = F.col(id_col).eqNullSafe(F.col("cut_id_")) & (F.xxhash64(text_col) == F.col("cut_body_"))
+    out = docs.join(cut, same, "left").where("kept_text_ is null or kept_text_ <> ''")
+    return out.select(*(F.coalesce("kept_text_", text_col).alias(text_col) if c == text_col else F.col(c) for c in docs.columns))
+
+
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
