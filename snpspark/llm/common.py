@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,10 @@ def stored(df: DataFrame) -> DataFrame:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
     out = df.checkpoint(eager=True)
     del df  # else its lineage would outlive the call
-    gc.collect()
-    sc._jvm.System.gc()  # Spark deletes the shuffle files behind the result once the driver collects its garbage
+    for _ in range(2):  # Spark deletes the shuffle files behind the result once the driver collects its garbage
+        gc.collect()
+        sc._jvm.System.gc()
+        time.sleep(0.3)
     return out
 
 
