@@ -136,3 +136,13 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     np.add.at(d, starts, 1)
     np.add.at(d, np.minimum(starts + size, n), -1)
     return np.cumsum(d[:n]) > 0
+
+
+def release() -> None:
+    """Gives freed memory back to the system: idle workers would keep it otherwise. Does nothing where that isn't known."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -30,6 +30,8 @@ from . import kernels as K
 from .common import stored, table
 
 DISCOUNT = 0.5
+SLICE = 1 << 19  # bytes of text whose arrays a worker holds at once
+HELD, EMITTED = 400_000, 1_000_000  # rows that a worker holds unmerged, and merged before it emits them
 BEGIN, END, RARE = 0, 1, 2  # symbols; the shapes and the frequent words follow
 _G = K.U(0x9E3779B97F4A7C15)
 
@@ -73,6 +75,7 @@ def _tokens(data: np.ndarray, offs: np.ndarray):
 def _counted(batches):
     """(h, shape, n) of a partition's words."""
     held: list[tuple] = []
+    fresh = 0
 
     def merged():
         h, s, n = (np.concatenate(x) for x in zip(*held))
@@ -80,16 +83,19 @@ def _counted(batches):
         return u, s[at], np.bincount(inv, weights=n, minlength=len(u)).astype(np.int64)
 
     for batch in batches:
-        for _, _, data, offs in K.slices(batch):
+        for _, _, data, offs in K.slices(batch, most=SLICE):
             h, s, _ = _tokens(data, offs)
             u, at, n = np.unique(h, return_index=True, return_counts=True)
             held.append((u, s[at], n))
-            if len(held) >= 16:
-                held = [merged()]
-                if len(held[0][0]) > 2_000_000:
+            fresh += len(u)
+            if fresh > HELD:
+                held, fresh = [merged()], 0
+                if len(held[0][0]) > EMITTED:
                     yield from _emit(held.pop())
     if held:
         yield from _emit(merged())
+    held.clear()
+    K.release()
 
 
 def _emit(columns, names=("h", "shape", "n")):
@@ -194,9 +200,9 @@ def _next_symbols(batches, model: Model, k: int, wanted: Lookup | None):
 
     longer is the context of k + 1 symbols that ends with x.
     """
-    names, parts = ["key", "x", "longer", *(f"s{j}" for j in range(1, k)), "n"], []
+    names, parts, fresh = ["key", "x", "longer", *(f"s{j}" for j in range(1, k)), "n"], [], 0
     for batch in batches:
-        for _, _, data, offs in K.slices(batch):
+        for _, _, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
             s, _ = model.sequence(model.symbolise(h, shape)[2], first)
             keys = model.contexts(s, k + 1)
@@ -206,12 +212,15 @@ def _next_symbols(batches, model: Model, k: int, wanted: Lookup | None):
                 ok &= wanted.find(keys[k - 1]) >= 0
             ok = np.flatnonzero(ok)
             parts.append(_merged([(keys[k - 1][ok], s[ok], longer[ok], *(x[ok] for x in keys[: k - 1]), np.ones(len(ok)))]))
-            if len(parts) >= 16:
-                parts = [_merged(parts)]
-                if len(parts[0][0]) > 2_000_000:
+            fresh += len(parts[-1][0])
+            if fresh > HELD:
+                parts, fresh = [_merged(parts)], 0
+                if len(parts[0][0]) > EMITTED:
                     yield from _emit(parts.pop(), names)
     if parts:
         yield from _emit(_merged(parts), names)
+    parts.clear()
+    K.release()
 
 
 def _columns(df: DataFrame) -> list[np.ndarray]:
@@ -257,7 +266,7 @@ def _scored(batches, model: Model):
     """Sums of each text over the words whose counts are at hand, and the others' hashes with what an unseen one costs."""
     ln10 = np.log(10)
     for batch in batches:
-        for lo, hi, data, offs in K.slices(batch):
+        for lo, hi, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
             at, kind, symbol = model.symbolise(h, shape)
             row, rows = K.row_of(first), hi - lo
@@ -279,6 +288,7 @@ def _scored(batches, model: Model):
             out += [pa.ListArray.from_arrays(lists, pa.array(x)) for x in (h[far].view(np.int64), cost)]
             keep = [batch.column(i).slice(lo, rows) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*keep, *out], names=["doc_id", "body", "n_tokens", "n_known", "base_score", "score", "h", "cost"])
+    K.release()
 
 
 def scores(docs: DataFrame, model: Model, counts: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
