@@ -47,7 +47,7 @@ def parse(text: str, path: str = ""):
 
 def alignments(spark: SparkSession, paths) -> DataFrame:
     """Every alignment of the files; record_ord and alignment_ord are their places in the file."""
-    files = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
     def read(batches):
         for batch in batches:
