@@ -9,6 +9,7 @@ from . import bridge
 from .functions import calls as C
 from .functions import vcf as V
 from .operators import association, exports, filters, franken, intervals, matrices, merge, positions, stats
+from .sources import discover, samples
 
 _QUERIES: dict = {}
 _SQL: dict = {}
@@ -651,9 +652,7 @@ _READS = "select s_name || '_R1_001.fastq.gz' as path from {supplier} where s_ac
 
 @query(f"with f as ({_READS.format(supplier='supplier')}) select split_part(a.path, '_R1_', 1) as sample, a.path as read1, b.path as read2 from f a join f b on b.path = replace(a.path, '_R1_', '_R2_') where contains(a.path, '_R1_')", plain=True)
 def read_pairs(spark, sf_dir):
-    from .sources.discover import read_pairs as pairs
-
-    return pairs(spark.sql(_READS, supplier=_t(spark, sf_dir, "supplier")))
+    return discover.read_pairs(spark.sql(_READS, supplier=_t(spark, sf_dir, "supplier")))
 
 
 _PATHS = "select '/x/' || replace(p_name, ' ', '_') || case p_size % 5 when 0 then '-bowtie2-gatk.vcf' when 1 then '-bwamem-varscan.vcf' when 2 then '.vcf' when 3 then '.frankenfasta' else '.txt' end as path, p_size % 5 as k, replace(p_name, ' ', '_') as n, p_partkey from {part}"
@@ -669,9 +668,7 @@ def sample_identity(spark, sf_dir):
 
 @query("select row_number() over (order by n_name) - 1 as sample_ord, n_name as identifier from nation", plain=True)
 def sample_order(spark, sf_dir):
-    from .sources.samples import ordered
-
-    return ordered(_t(spark, sf_dir, "nation").select(F.col("n_name").alias("identifier"))).select("sample_ord", "identifier")
+    return samples.ordered(_t(spark, sf_dir, "nation").select(F.col("n_name").alias("identifier"))).select("sample_ord", "identifier")
 
 
 def queries() -> dict:
