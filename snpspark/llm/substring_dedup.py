@@ -173,11 +173,11 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     # Of the texts only those with surviving spans go on. What is stored must have no other name here: its shuffle
     # files would stay until the end.
     first = lambda: rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(found, steps[0] == size, judged.where(~F.col("copy"))), key)
-    live = stored(first()) if len(steps) > 1 else first()
+    live = stored(first(), release=True) if len(steps) > 1 else first()
     for span, length in zip(steps, steps[1:]):
         spans = partial(lambda b, s, n: _spans(_unpacked(b), s, n, size), s=span, n=length)
         following = lambda: live.select(*key, "packed").join(_hits(live.mapInArrow(spans, schema(length)), length == size), key)  # noqa: E731, B023
-        live = stored(following()) if length < size else following()
+        live = stored(following(), release=True) if length < size else following()
     cut = live.mapInArrow(lambda b: _kept(_unpacked(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
     doc_id = F.when(F.col("doc") != LAST, F.col("doc")).cast(docs.schema[id_col].dataType)
     one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
