@@ -23,7 +23,7 @@ def stored(df: DataFrame, release: bool = False) -> DataFrame:
     The folder is the session's spark.checkpoint.dir; only where that is unset (in tests, on one machine) a temporary
     folder is set. Spark deletes the files when nothing refers to the result any more. release: waits until the driver
     has let go of the shuffle files behind the result, which executors else keep until it happens to collect garbage;
-    worth its second where much was shuffled. No other name may refer to `df` or to what it was made of.
+    worth its seconds where much was shuffled. No other name may refer to `df` or to what it was made of.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
@@ -31,10 +31,11 @@ def stored(df: DataFrame, release: bool = False) -> DataFrame:
     out = df.checkpoint(eager=True)
     del df  # else its lineage would outlive the call
     if release:
-        gc.collect()
-        time.sleep(1.5)  # the bridge to the JVM lets go of collected objects once a second
-        sc._jvm.System.gc()
-        time.sleep(0.5)
+        for _ in range(2):
+            gc.collect()
+            time.sleep(1.5)  # the bridge to the JVM lets go of collected objects once a second
+            sc._jvm.System.gc()
+            time.sleep(0.5)
     return out
 
 

@@ -105,7 +105,7 @@ def _spans(batches, span: int, length: int, size: int):
 
 def _packed(batches):
     """The batches with their texts compressed, for the shuffle."""
-    pack = zstandard.ZstdCompressor(level=6).compress
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch):
             packed = pa.array([pack(data[a:b].tobytes()) for a, b in zip(offs[:-1], offs[1:])], pa.binary())
@@ -140,15 +140,11 @@ def _kept(batches, size: int, with_text: bool):
             yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(removed, pa.int64()), pa.array(shas), pa.array(texts, pa.string())], names=["doc", "body", "n_removed", "kept_sha256", "kept_text"])
 
 
-def _hits(found: DataFrame, last: bool, counted: DataFrame | None = None) -> DataFrame:
-    """Places in each document of spans that start in two documents; at the last level, in an earlier one.
-
-    counted: the rows of `found` among which spans must be repeated, if not all.
-    """
+def _hits(found: DataFrame, last: bool) -> DataFrame:
+    """Places in each document of spans that start in two documents; at the last level, in an earlier one."""
     names = ["h", "g"][: 1 + last]
-    exploded = lambda rows: rows.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
-    spans = exploded(found)
-    twice = exploded(found if counted is None else counted).groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+    spans = found.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
+    twice = spans.groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
     # The earliest document of a window still has to be compared at the next level, but loses nothing at the last.
     hits = spans.join(twice, names).where("doc > least" if last else "true")
     return hits.groupBy("doc", "body").agg(F.array_sort(F.collect_set("at")).alias("at"))
@@ -165,14 +161,13 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     key, steps = ["doc", "body"], levels(size, shortest)
     schema = lambda length: "doc long, body long, at array<int>, h array<long>" + ", g array<long>" * (length == size)
     found = stored(rows.mapInArrow(lambda b: _spans(b, 0, steps[0], size), schema(steps[0]) + ", n_words long, whole string"))
-    # A document with exactly the words of an earlier one loses them all; and spans count as repeated only among the
-    # earliest.
+    # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
     least = found.groupBy("whole").agg(F.min("doc").alias("first"))
     judged = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
     digests = judged.select(*key, "n_words", "whole", "copy")
     # Of the texts only those with surviving spans go on. What is stored must have no other name here: its shuffle
     # files would stay until the end.
-    first = lambda: rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(found, steps[0] == size, judged.where(~F.col("copy"))), key)
+    first = lambda: rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(judged.where(~F.col("copy")), steps[0] == size), key)
     live = stored(first(), release=True) if len(steps) > 1 else first()
     for span, length in zip(steps, steps[1:]):
         spans = partial(lambda b, s, n: _spans(_unpacked(b), s, n, size), s=span, n=length)
