@@ -1,19 +1,26 @@
 """Scoring of texts by a probabilistic suffix tree over words.
 
-Tokens are words, A-Z lower-cased, and one end for each text. The tree's symbols are the words that make up at least
-`symbol_share` of the training tokens, and for all others their last three bytes (where those make up as much; one
-symbol for the rest). A symbol's own words share its probability by their counts, and it reserves as much for unseen
-words as its words that occur once suggest; so the scores are those of one distribution over known and unseen tokens.
+Tokens are words, A-Z lower-cased, and one end for each text. The tree's symbols are the words that occur `symbol_count`
+times in training, and for all others their last three bytes (where those occur as often; one symbol for the rest). A
+symbol's own words share its probability by their counts, and it reserves as much for unseen words as its words that
+occur once suggest; so the scores are those of one distribution over known and unseen tokens.
 
 The tree is grown level by level: for contexts of one symbol, then of two, up to `depth`, the next symbols are counted
-over the whole corpus. Only contexts with a share of at least `context_share` are extended, and only next symbols with a
-joint share of at least `entry_share` are kept, so the model has at most depth / entry_share entries, whatever the size of
-the corpus. A context is retained if its next symbols diverge from those of its suffix by at least `divergence` nats a
-token. Its kept entries are smoothed by an absolute discount; what is left is shared as in the suffix. A token is scored
-in the state of the longest retained suffix of what precedes it.
-
-Words with a share of at least `table_share` (at most a million) are looked up in a broadcast table; the counts of all
-rarer words are joined by shuffle, so that every count is exact.
+over the whole corpus. Contexts that occur `context_count` times are extended, and next symbols that occur `entry_count`
+times behind them are kept. The counts are absolute, so that symbols, contexts and entries grow with the corpus; where a
+share of all tokens (`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A
+context is retained if its next symbols diverge from those of its suffix by at least `divergence` nats a token. Its kept
+entries are smoothed by an absolute discount; what is left is shared as in the suffix. A token is scored in the state of
+the longest retained suffix of what precedes it.
+
+A token's logarithm is that of its symbol, plus for each retained context what the context adds to all symbols, plus for
+each kept entry what the entry adds to that. So contexts and entries are rows of a hash and a number, to be summed over
+a text. The most frequent, at most `broadcast_rows` of each level, are broadcast; all others, whose number has no bound,
+stay a distributed table and are joined by hash. Bit maps of fixed size spare the shuffle of most hashes that aren't in it; they never decide.
+
+Only the symbols must be known to every task: words are looked up in a broadcast table of those with a share of at least
+`table_share` (at most a million) and of all symbols; the counts of all rarer words are joined by shuffle, so that every
+count is exact.
 
 Edge cases: null and empty texts consist of their end. Without training texts all scores are those of a model that has
 seen nothing. Each input row gives a row, repeated rows too; a null id is a training row. Other columns are ignored.
@@ -21,6 +28,8 @@ seen nothing. Each input row gives a row, repeated rows too; a null id is a trai
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +43,7 @@ SLICE = 1 << 19  # bytes of text whose arrays a worker holds at once
 HELD, EMITTED = 400_000, 1_000_000  # rows that a worker holds unmerged, and merged before it emits them
 BEGIN, END, RARE = 0, 1, 2  # symbols; the shapes and the frequent words follow
 _G = K.U(0x9E3779B97F4A7C15)
+MARKS = 26  # leading bits of a hash that number its place in a bit map
 
 
 class Lookup:
@@ -65,6 +75,20 @@ class Lookup:
         return out
 
 
+def _marks(keys: DataFrame) -> np.ndarray:
+    """A bit map, of fixed size, of the column `key`."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", 64 - MARKS).bitwiseAND(63).cast("int"))
+    word, bits = _columns(keys.groupBy(F.shiftrightunsigned("key", 64 - MARKS + 6).alias("word")).agg(F.bit_or(bit).alias("bits")))
+    out = np.zeros(1 << MARKS - 6, np.uint64)
+    out[word] = bits.view(np.uint64)
+    return out
+
+
+def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that the bit map doesn't have."""
+    return (marks[keys >> K.U(64 - MARKS + 6)] >> (keys >> K.U(64 - MARKS) & K.U(63)) & K.U(1)).astype(bool)
+
+
 def _tokens(data: np.ndarray, offs: np.ndarray):
     """Hash and shape (a hash of the last three bytes) of each word, and each row's first word."""
     data = K.LOWER[data]
@@ -130,7 +154,15 @@ class Model:
             self.root = np.log(root)
         if not ends:
             self.root[END] = np.log(0.5 / self.bottom)
+        #: How often each symbol precedes another.
+        self.preceding = np.concatenate([[ends, 0, rest[0]], shapes[1], words[1][frequent]]).astype(np.int64)
         self.levels: list[dict] = []
+        #: The rows (key, value) that aren't in the levels, where there are any, and bit maps of their contexts and entries.
+        self.tail: DataFrame | None = None
+        self.marks: tuple | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"tail": None}
 
     def symbolise(self, h: np.ndarray, shape: np.ndarray):
         """For each word its place in the table (or -1), its shape's number and its symbol."""
@@ -160,32 +192,48 @@ class Model:
             ok = ok & (back != BEGIN)
         return out
 
-    def logs(self, keys: list[np.ndarray], x: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the probabilities of x; keys[k - 1]: hashes of the contexts of k symbols."""
+    def logs(self, keys: list[np.ndarray], x: np.ndarray, far: list | None = None) -> np.ndarray:
+        """Natural logarithms of the probabilities of x; keys[k - 1]: hashes of the contexts of k symbols.
+
+        far: takes (places, hashes) of what may be in the tail and has to be added.
+        """
         out = self.root[x]
         for level, key in zip(self.levels, keys):
             state = level["contexts"].find(key)
-            own = np.flatnonzero(state >= 0)
-            if not len(own):
-                continue
-            entry = level["entries"].find(K.mix(key[own] * _G + x[own].astype(np.uint64)))
-            out[own] = np.where(entry >= 0, level["log"][entry] if len(level["log"]) else 0, out[own] + level["back"][state[own]])
+            near = state >= 0
+            out[near] += level["back"][state[near]]
+            if far is not None and self.marks:
+                away = np.flatnonzero(~near & (key != 0) & _marked(self.marks[0], key))
+                far.append((away, key[away]))
+                near[away] = True
+            # Contexts that the bit map lets through by mistake have no entries.
+            own = np.flatnonzero(near)
+            hashes = _entry(key[own], x[own])
+            entry = level["entries"].find(hashes)
+            hit = entry >= 0
+            out[own[hit]] += level["log"][entry[hit]]
+            if far is not None and self.marks:
+                miss = np.flatnonzero(~hit)
+                miss = miss[_marked(self.marks[1], hashes[miss])]
+                far.append((own[miss], hashes[miss]))
         return out
 
-    def grow(self, key, x, n, totals, suffixes, divergence: float):
-        """Adds a level: n times x came behind the context `key`, whose suffixes are given; totals: (context, n)."""
-        ctx, total = totals
-        of = Lookup(ctx).find(key)
-        own = of >= 0
-        key, x, n, of = key[own], x[own], n[own], of[own]
-        parent = np.exp(self.logs([s[own] for s in suffixes], x))
-        p = (n - DISCOUNT) / total[of]
-        kept, there = (np.bincount(of, weights=w, minlength=len(ctx)) for w in (p, parent))
-        back = np.log(np.maximum(1 - kept, 1e-12)) - np.log(np.maximum(1 - there, 1e-12))
-        gain = np.bincount(of, weights=p * (np.log(p) - np.log(parent)), minlength=len(ctx)) + (1 - kept) * back
-        good = gain >= divergence
-        own = good[of]
-        self.levels.append({"contexts": Lookup(ctx[good]), "back": back[good], "entries": Lookup(K.mix(key[own] * _G + x[own].astype(np.uint64))), "log": np.log(p[own])})
+    def add(self, contexts, entries):
+        """Adds a level: columns (key, back) of contexts, (key, x, log) of entries, of which log adds to back."""
+        key, x, log = entries
+        self.levels.append({"contexts": Lookup(contexts[0].view(np.uint64)), "back": contexts[1], "entries": Lookup(_entry(key.view(np.uint64), x)), "log": log})
+
+
+def _entry(key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return ~K.mix(key * _G + x.astype(np.uint64))  # inverted, since contexts are hashed alike
+
+
+def _entries(batches):
+    """(key, value) of entries (key, x, log)."""
+    for batch in batches:
+        key, x, log = (batch.column(batch.schema.get_field_index(c)) for c in ("key", "x", "log"))
+        hashes = _entry(key.to_numpy(zero_copy_only=False).view(np.uint64), x.to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), log], names=["key", "value"])
 
 
 def _merged(parts: list[tuple]) -> tuple:
@@ -195,23 +243,23 @@ def _merged(parts: list[tuple]) -> tuple:
     return (*(c[at] for c in cols[:-1]), np.bincount(inv, weights=cols[-1], minlength=len(at)).astype(np.int64))
 
 
-def _next_symbols(batches, model: Model, k: int, wanted: Lookup | None):
-    """(key, x, longer, suffix keys, n): counts of the symbol x behind a context of k symbols that is wanted (None: any).
+def _next_symbols(batches, model: Model, k: int, last: bool, wanted: np.ndarray | None):
+    """(key, x, suffix keys, longer, n): counts of the symbol x behind a context of k symbols that is wanted (None: any).
 
-    longer is the context of k + 1 symbols that ends with x.
+    longer is the context of k + 1 symbols that ends with x; the last level has none.
     """
-    names, parts, fresh = ["key", "x", "longer", *(f"s{j}" for j in range(1, k)), "n"], [], 0
+    names, parts, fresh = _next_names(k, last), [], 0
     for batch in batches:
         for _, _, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
             s, _ = model.sequence(model.symbolise(h, shape)[2], first)
-            keys = model.contexts(s, k + 1)
-            longer = np.concatenate([keys[k][1:], np.zeros(1, np.uint64)])
+            keys = model.contexts(s, k if last else k + 1)
             ok = keys[k - 1] != 0
             if wanted is not None:
-                ok &= wanted.find(keys[k - 1]) >= 0
+                ok &= _marked(wanted, keys[k - 1])
             ok = np.flatnonzero(ok)
-            parts.append(_merged([(keys[k - 1][ok], s[ok], longer[ok], *(x[ok] for x in keys[: k - 1]), np.ones(len(ok)))]))
+            more = [] if last else [np.concatenate([keys[k][1:], np.zeros(1, np.uint64)])[ok]]
+            parts.append(_merged([(keys[k - 1][ok], s[ok], *(x[ok] for x in keys[: k - 1]), *more, np.ones(len(ok)))]))
             fresh += len(parts[-1][0])
             if fresh > HELD:
                 parts, fresh = [_merged(parts)], 0
@@ -223,47 +271,107 @@ def _next_symbols(batches, model: Model, k: int, wanted: Lookup | None):
     K.release()
 
 
+def _next_names(k: int, last: bool) -> list[str]:
+    return ["key", "x", *(f"s{j}" for j in range(1, k)), *([] if last else ["longer"]), "n"]
+
+
+def _level(pairs: DataFrame, totals: DataFrame, root: DataFrame, lower: list[tuple], divergence: float) -> tuple[DataFrame, DataFrame]:
+    """Retained contexts (key, total, back) and their entries (key, x, n, log).
+
+    pairs: n times x came behind the context `key` with the suffixes s1, ...; totals: (key, total) of the contexts that
+    may be retained; root: (x, value); lower: what this function gave for the shorter contexts.
+    """
+    rows = pairs.join(totals, "key").join(F.broadcast(root), "x")
+    for j, (contexts, entries) in enumerate(lower, 1):
+        of = contexts.select(F.col("key").alias(f"s{j}"), "back")
+        # Contexts of one symbol are no more than the symbols, which are broadcast as well.
+        rows = rows.join(F.broadcast(of) if j == 1 else of, f"s{j}", "left").join(entries.select(F.col("key").alias(f"s{j}"), "x", "log"), [f"s{j}", "x"], "left")
+        rows = rows.withColumn("value", F.col("value") + F.coalesce("back", F.lit(0.0)) + F.coalesce("log", F.lit(0.0))).drop("back", "log")
+    rows = stored(rows.select("key", "x", "n", "total", "value", ((F.col("n") - DISCOUNT) / F.col("total")).alias("p")))
+    sums = rows.groupBy("key").agg(
+        F.any_value("total").alias("total"), F.sum("p").alias("kept"), F.sum(F.exp("value")).alias("there"), F.sum(F.col("p") * (F.log("p") - F.col("value"))).alias("gain")
+    )
+    left = lambda c: F.greatest(1 - F.col(c), F.lit(1e-12))
+    sums = sums.withColumn("back", F.log(left("kept")) - F.log(left("there")))
+    contexts = stored(sums.where(F.col("gain") + (1 - F.col("kept")) * F.col("back") >= divergence).select("key", "total", "back"))
+    return contexts, stored(rows.join(contexts.select("key", "back"), "key").select("key", "x", "n", (F.log("p") - F.col("value") - F.col("back")).alias("log")))
+
+
 def _columns(df: DataFrame) -> list[np.ndarray]:
     got = df.toArrow()
     return [got[c].combine_chunks().to_numpy() for c in got.column_names]
 
 
-def train(docs: DataFrame, text_col="text", *, depth=2, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02) -> tuple[Model, DataFrame]:
+def _cut(df: DataFrame, col: str, most: int) -> int:
+    """The least power of two (0 for all rows) that at most `most` rows of the column reach."""
+    sizes = sorted(df.groupBy(F.length(F.bin(col)).alias("bits")).count().collect(), reverse=True)
+    held = 0
+    for bits, n in sizes:
+        held += n
+        if held > most:
+            return 1 << bits
+    return 0
+
+
+def train(
+    docs: DataFrame, text_col="text", *, depth=2, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, broadcast_rows=1 << 20
+) -> tuple[Model, DataFrame]:
     """The model of the texts, and (h, n): the counts of all words."""
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    sc = spark.sparkContext
     rows = docs.select(F.col(text_col).alias("text"))
     counts = rows.mapInArrow(_counted, "h long, shape long, n long").groupBy("h").agg(F.any_value("shape").alias("shape"), F.sum("n").alias("n"))
     counts = stored(counts)
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = rows.count()
     total, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
-    # Each table that comes to the driver has at most one over its share rows.
-    words = _columns(counts.where(F.col("n") >= max(1, table_share * total)).select("h", "n").orderBy("h"))
-    least = max(1.0, symbol_share * total)
+    # Of the tables that come to the driver only the symbols' grows: a word for `symbol_count` tokens at most.
+    least = max(1.0, min(symbol_count, symbol_share * total))
+    words = _columns(counts.where(F.col("n") >= min(least, max(1, table_share * total))).select("h", "n").orderBy("h"))
     below = counts.where(F.col("n") < least).groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once"))
     shapes = _columns(below.where(F.col("n") >= least).orderBy("shape"))
     every = below.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once"))).first()
     rest = [x - int(c.sum()) for x, c in zip(every, shapes[1:])]
     model = Model(total, distinct, ends, (words[0].view(np.uint64), words[1]), (shapes[0].view(np.uint64), *shapes[1:]), rest, least)
-    wanted = None
+    if not ends:
+        return model, counts.select("h", "n")
+    often, kept = (max(2, min(c, share * total)) for c, share in ((context_count, context_share), (entry_count, entry_share)))
+    there = np.flatnonzero(model.preceding >= often)
+    totals = spark.createDataFrame(pa.table({"key": K.mix(there.astype(np.uint64) + K.U(1)).view(np.int64), "total": model.preceding[there]}), "key long, total long")
+    finite = np.flatnonzero(np.isfinite(model.root))
+    root = spark.createDataFrame(pa.table({"x": finite, "value": model.root[finite]}), "x long, value double")
+    wanted, lower, far = None, [], []
     for k in range(1, depth + 1):
-        if not ends or (wanted is not None and not len(wanted.keys)):
-            break
-        held = sc.broadcast((model, wanted))
-        more = [f"s{j}" for j in range(1, k)]
-        schema = "key long, x long, longer long, " + "".join(f"{c} long, " for c in more) + "n long"
-        pairs = rows.mapInArrow(lambda b, h=held, k=k: _next_symbols(b, h.value[0], k, h.value[1]), schema)
-        pairs = stored(pairs.groupBy("key", "x").agg(*(F.any_value(c).alias(c) for c in ["longer", *more]), F.sum("n").alias("n")))
-        ctx = _columns(pairs.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, context_share * total)).orderBy("key"))
-        got = _columns(pairs.where(F.col("n") >= max(2, entry_share * total)).orderBy("key", "x").select("key", "x", "n", "longer", *more))
-        model.grow(got[0].view(np.uint64), got[1], got[2], (ctx[0].view(np.uint64), ctx[1]), [c.view(np.uint64) for c in got[4:]], divergence)
-        often = (got[2] >= context_share * total) & (got[3] != 0)
-        wanted = Lookup(np.unique(got[3][often].view(np.uint64)))
+        held, last = sc.broadcast((model, wanted)), k == depth
+        names = _next_names(k, last)
+        pairs = rows.mapInArrow(lambda b, h=held, k=k, last=last: _next_symbols(b, h.value[0], k, last, h.value[1]), ", ".join(f"{c} long" for c in names))
+        pairs = pairs.groupBy("key", "x").agg(*(F.any_value(c).alias(c) for c in names[2:-1]), F.sum("n").alias("n"))
+        pairs = stored(pairs.where(F.col("n") >= kept))
+        contexts, entries = _level(pairs, F.broadcast(totals) if k == 1 else totals, root, lower, divergence)
+        near, close = _cut(contexts, "total", broadcast_rows), _cut(entries, "n", broadcast_rows)
+        model.add(
+            _columns(contexts.where(F.col("total") >= near).select("key", "back").orderBy("key")),
+            _columns(entries.where(F.col("n") >= close).select("key", "x", "log").orderBy("key", "x")),
+        )
+        if near or close:
+            away = contexts.where(F.col("total") < near).select("key", F.col("back").alias("value"))
+            far.append((away, entries.where(F.col("n") < close).mapInArrow(_entries, "key long, value double")))
+        lower.append((contexts, entries))
+        if not last:
+            # A context is as often followed by something as it occurs, so the pairs have the longer ones' totals.
+            totals = stored(pairs.where((F.col("n") >= often) & (F.col("longer") != 0) & (F.col("x") != END)).groupBy(F.col("longer").alias("key")).agg(F.sum("n").alias("total")))
+            wanted = _marks(totals)
+            if not wanted.any():
+                break
+    if far:
+        away, rare = (reduce(DataFrame.union, part) for part in zip(*far))
+        model.marks = _marks(away), _marks(rare)
+        model.tail = stored(away.union(rare))
     return model, counts.select("h", "n")
 
 
 def _scored(batches, model: Model):
-    """Sums of each text over the words whose counts are at hand, and the others' hashes with what an unseen one costs."""
+    """Sums of each text over what is at hand; the other words' hashes with what an unseen one costs; hashes for the tail."""
     ln10 = np.log(10)
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch, most=SLICE):
@@ -278,16 +386,22 @@ def _scored(batches, model: Model):
             base = total(log) + np.log10(model.ends + 0.5) - n_tokens * np.log10(model.bottom)
             inner = np.where(symbol == kind + RARE, log + model.known[kind], 0)
             s, start = model.sequence(symbol, first)
-            score = model.logs(model.contexts(s, max(1, len(model.levels))), s) / ln10
+            more: list[tuple] = []
+            score = model.logs(model.contexts(s, max(1, len(model.levels))), s, more) / ln10
             score[s == BEGIN] = 0
+            at, keys = (np.concatenate(x) for x in zip(*more)) if more else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            order = np.argsort(at, kind="stable")
+            ends = np.concatenate([start[1:] - 1, [len(s)]])
+            tails = pa.array(np.concatenate([[0], np.searchsorted(at[order], ends)]), pa.int32())
             score = np.add.reduceat(score, start - 1) + total(inner)
             far = np.flatnonzero(~there)
             lists = pa.array(np.searchsorted(far, first), pa.int32())
             cost = (model.unseen[kind[far]] - model.known[kind[far]]).astype(np.float32)
             out = [pa.array(n_tokens, pa.int64()), pa.array((total(there) + (model.ends > 0)).astype(np.int64)), pa.array(base), pa.array(score)]
             out += [pa.ListArray.from_arrays(lists, pa.array(x)) for x in (h[far].view(np.int64), cost)]
+            out.append(pa.ListArray.from_arrays(tails, pa.array(keys[order].view(np.int64))))
             keep = [batch.column(i).slice(lo, rows) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*keep, *out], names=["doc_id", "body", "n_tokens", "n_known", "base_score", "score", "h", "cost"])
+            yield pa.RecordBatch.from_arrays([*keep, *out], names=["doc_id", "body", "n_tokens", "n_known", "base_score", "score", "h", "cost", "keys"])
     K.release()
 
 
@@ -296,12 +410,16 @@ def scores(docs: DataFrame, model: Model, counts: DataFrame, id_col="doc_id", te
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = stored(rows.mapInArrow(lambda b: _scored(b, held.value), f"doc_id {kind}, body long, n_tokens long, n_known long, base_score double, score double, h array<long>, cost array<float>"))
+    found = stored(rows.mapInArrow(lambda b: _scored(b, held.value), f"doc_id {kind}, body long, n_tokens long, n_known long, base_score double, score double, h array<long>, cost array<float>, keys array<long>"))
     rare = found.select("doc_id", "body", F.explode(F.arrays_zip("h", "cost")).alias("t")).select("doc_id", "body", "t.h", "t.cost").join(counts, "h", "left")
     log = F.log10(F.coalesce("n", F.lit(0)) + 0.5)
     more = rare.groupBy("doc_id", "body").agg(
         F.count("n").alias("known"), F.sum(log).alias("base"), F.sum(F.when(F.col("n").isNotNull(), log).otherwise(F.col("cost"))).alias("more")
     )
+    if model.tail is not None:
+        far = found.select("doc_id", "body", F.explode("keys").alias("key")).join(model.tail, "key").groupBy("doc_id", "body").agg(F.sum("value").alias("value"))
+        far = far.select("doc_id", "body", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("value") / float(np.log(10))).alias("more"))
+        more = more.union(far).groupBy("doc_id", "body").agg(*(F.sum(c).alias(c) for c in ("known", "base", "more")))
     # Rows that are repeated come as one with their number, by which the sums over their words are divided.
     one = found.groupBy("doc_id", "body").agg(F.count("*").alias("rows"), *(F.any_value(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
     more = more.withColumnsRenamed({"doc_id": "d", "body": "b"})

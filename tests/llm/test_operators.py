@@ -180,6 +180,28 @@ def test_next_symbols_sum_to_one(spark, sf):
         assert np.exp(model.logs(keys, every)).sum() == pytest.approx(1, abs=1e-6)
 
 
+def test_tree_grows_beyond_what_is_broadcast(spark, sf):
+    docs = table(spark, sf, "documents")
+    low = dict(symbol_share=1.0, context_share=1.0, entry_share=1.0, symbol_count=30, context_count=20, entry_count=3)
+    # The same tree, once with all rows broadcast, and with none or some.
+    near, far, some = (suffix_tree.train(docs, **low, broadcast_rows=n) for n in (10**6, 0, 100))
+    assert near[0].tail is None and not len(far[0].levels[0]["log"])
+    assert all(0 < len(x["log"]) <= 100 for x in some[0].levels)
+    assert far[0].tail.count() == sum(len(x["log"]) + len(x["back"]) for x in near[0].levels) > 1000
+    a, b, c = ({r["doc_id"]: r["score"] for r in suffix_tree.scores(docs, *m).collect()} for m in (near, far, some))
+    assert a == pytest.approx(b, abs=1e-6) and a == pytest.approx(c, abs=1e-6)
+
+
+def test_what_is_kept_of_the_tree_does_not_depend_on_shares(spark):
+    # "red" is always followed by "fox", 40 times, in a corpus where that is far below any share.
+    texts = ["red fox"] * 40 + [f"a{i % 50} b{i % 47} c{i % 43}" for i in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = suffix_tree.train(docs, symbol_share=0.01, context_share=0.05, entry_share=0.05, symbol_count=30, context_count=30, entry_count=5)
+    got = suffix_tree.scores(spark.createDataFrame([(1, "red fox"), (2, "fox red")], "doc_id long, text string"), *model).collect()
+    score = {r["doc_id"]: r["score"] - r["base_score"] for r in got}
+    assert score[1] > 2 and score[2] < score[1] - 2
+
+
 def test_odd_rows_of_scoring(odd, nothing):
     for part in (odd, nothing, odd.where("doc_id = 3")):
         model, counts = suffix_tree.train(part)
