@@ -98,6 +98,25 @@ def test_formatted_chats_read_back(spark):
         assert learnt == [t for role, t in convs[r["conv_id"]] if role == "assistant"]
 
 
+def test_large_conversations_keep_their_turns(spark):
+    part = 'x"\\\n:'
+    long = part * 4_200_000  # 21,000,000 characters: beyond the parser's limit
+    text = F.repeat(F.lit(part), F.when(F.col("id") == 0, 4_200_000).otherwise(1).cast("int"))
+    df = spark.range(2).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), text.alias("text"))
+    turns = F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"]), F.md5(t["text"].cast("binary"))))
+    got = chat_format.canonical_turns(chat_format.chat_records(df)).select("layout", turns.alias("t")).first()
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    assert got["layout"] == "instruction" and [tuple(t) for t in got["t"]] == [("user", len(long), md5(long)), ("assistant", 5, md5(part))]
+
+
+def test_shapes_without_strings(spark, monkeypatch):
+    rows = ['{"prompt":"a","completion":null}', '{"system" : "s\\"", "messages": [{"content":":","role":""},{"role":"\\\\","content":"x"}]}', '{"z":1,"y":["a",{"b":"c"}]}', "not json", '{"role":"\\q","text":"t"}', '{"role":"a","text":"t', None, ""]
+    df = spark.createDataFrame([(r,) for r in rows], "record string")
+    want = [r[0] for r in df.select(chat_format.shape(F.col("record"))).collect()]
+    monkeypatch.setattr(chat_format, "LARGE", -1)
+    assert [r[0] for r in df.select(chat_format.shape(F.col("record"))).collect()] == want and want[1]
+
+
 def test_odd_turns(spark):
     rows = [(1, 0, "user", None), (1, 1, None, "x"), (1, 1, None, "x"), (None, None, "assistant", "y"), (2, None, "user", "b"), (2, None, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
