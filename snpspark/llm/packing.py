@@ -6,7 +6,7 @@ as many as the token budget holds at the boundary's length form a batch; a docum
 of its own.
 
 The histogram reaches the driver with lengths above 2,048 rounded up to eleven leading bits (at most some 55,000 cells
-for any lengths); sums stay exact. The numbering is distributed: documents are numbered within cells of equal rounded
+for any lengths); sums stay exact, and a cell's bound is the greatest length in it. The numbering is distributed: documents are numbered within cells of equal rounded
 length, of which those with more than `group` documents are split by a hash of the id, and each cell starts where the
 counts of those before it end.
 
@@ -81,12 +81,12 @@ def pack(docs: DataFrame, id_col="doc_id", length: Column | None = None, text_co
     length = F.size(words_of(F.col(text_col))) if length is None else length
     rows = stored(docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("n_tokens")))
     rows = rows.withColumn("cell", cell(F.col("n_tokens")))
-    histogram = rows.groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"))
+    histogram = rows.groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("most"))
     seen = histogram.orderBy("cell").toPandas()
-    bounds = boundaries(*(seen[k].to_numpy() for k in ("cell", "n", "tokens")), buckets)
+    bounds = boundaries(*(seen[k].to_numpy() for k in ("most", "n", "tokens")), buckets)
     bucket, bound = F.lit(len(bounds) - 1), F.lit(bounds[-1] if bounds else 0).cast("long")
     for k in range(len(bounds) - 2, -1, -1):
-        inside = F.col("cell") <= bounds[k]
+        inside = F.col("n_tokens") <= bounds[k]
         bucket, bound = F.when(inside, k).otherwise(bucket), F.when(inside, F.lit(bounds[k]).cast("long")).otherwise(bound)
     # The histogram is small (see above) and says into how many groups a cell is split.
     splits = histogram.select("cell", F.ceil(F.col("n") / group).alias("splits"))

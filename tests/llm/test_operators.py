@@ -257,6 +257,15 @@ def test_batches(spark, sf, odd, nothing):
     assert packing.pack(odd).count() == len(ODD) and packing.pack(nothing).count() == 0
 
 
+def test_bounds_are_the_longest_members(spark):
+    lengths = [3, 5001, 5002, 70_001, 70_003, 1_000_001]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long")
+    for buckets in (1, 2, 3, 16):
+        got = packing.pack(df, length=F.col("n"), buckets=buckets).toPandas()
+        assert len(got) == len(lengths) and (got.groupby("bucket").n_tokens.max() == got.groupby("bucket").bucket_tokens.max()).all()
+        assert got.groupby("bucket").bucket_tokens.nunique().eq(1).all()
+
+
 def _passages(docs, size):
     """Kept words of each row, window by window."""
     words = [(i if i is not None else 1 << 63, (t or "").encode().split()) for i, t in docs]
