@@ -138,6 +138,41 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     return np.cumsum(d[:n]) > 0
 
 
+class Lookup:
+    """Places of 64-bit hashes in a fixed set, without a search: a table by their leading bits, then a few steps."""
+
+    def __init__(self, keys: np.ndarray):
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+        bits = max(1, int(np.ceil(np.log2(len(keys) + 1))))
+        self.shift = U(64 - bits)
+        self.first = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, q: np.ndarray) -> np.ndarray:
+        """The index that each key had, or -1."""
+        out = np.full(len(q), -1, np.int32)
+        if not len(self.keys):
+            return out
+        top = (q >> self.shift).astype(np.int64)
+        at, end = self.first[top], self.first[top + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            own = at[live]
+            hit = self.keys[own] == q[live]
+            out[live[hit]] = self.order[own[hit]]
+            own = own + 1
+            more = ~hit & (own < end[live])
+            at[live] = own
+            live = live[more]
+        return out
+
+
+def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that the bit map (a power of two of words) doesn't have; places are numbered by leading bits."""
+    shift = U(64 - int(len(marks)).bit_length() + 1)
+    return (marks[keys >> shift] >> (keys >> shift - U(6) & U(63)) & U(1)).astype(bool)
+
+
 def release() -> None:
     """Gives freed memory back to the system: idle workers would keep it otherwise. Does nothing where that isn't known."""
     import ctypes

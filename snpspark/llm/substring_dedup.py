@@ -1,15 +1,22 @@
 """Removal of passages that an earlier document already has, found level by level with windows of doubling length.
 
-A window of `size` words counts as repeated if its words also start in a document of a smaller id. Documents
-of exactly the same words are settled by one digest each. Other windows are not compared at full length at once: at the first level each window is represented by the least hash among the short spans
-in it (so that equal windows are represented by equal spans, and far fewer spans than words are shuffled). Only the
-windows around spans that occur in two documents go on to the next level, with spans of twice the length, until the
-span is the window itself; there 128 bits of hash of every surviving window are compared. Where nothing survives, the
-later levels are skipped.
+A window of `size` words counts as repeated if its words also start in a document of a smaller id. Windows are not
+compared at full length at once: at the first level each is represented by the least hash among the short spans in it
+(so that equal windows are represented by equal spans, and far fewer spans than words are shuffled). Only the windows
+around spans that occur in two documents go on to the next level, with spans of twice the length, until the span is the
+window itself; there 128 bits of hash of every surviving window are compared. Where nothing survives, the later levels
+have no rows. Documents of exactly the same words have the same windows, so only the earliest of them takes part; by
+definition the others lose all their words.
+
+At each level the documents of each span are counted (partial sums before the shuffle, so that a passage that many
+share is one row of each task). The spans with the most documents, at most `broadcast_rows`, are broadcast to where the
+documents' spans are, and so a common passage is never brought together in one task; all others are joined by shuffle,
+and a bit map of fixed size spares the shuffle of most spans that don't repeat. Texts are shuffled only of documents that
+have a hit.
 
 Edge cases: a null or empty text has no words and loses none. A null id counts as larger than all others. Rows with the
 same id don't remove each other's words; repeated rows each give a row. Texts of any length are worked off whole.
-Columns other than the two named ones are ignored. An empty table gives an empty result.
+Columns other than the two named ones are ignored, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import stored, table
+from .common import bounded, columns, fresh, marks, most_frequent, stored, table
 
 LAST = (1 << 63) - 1
 
 
-def levels(size: int, shortest: int = 20) -> list[int]:
+def levels(size: int, shortest: int = 10) -> list[int]:
     """Lengths of the spans: each is twice the one before (one less where halving leaves a rest), the last is `size`."""
     out = [size]
     while (half := -(-out[0] // 2)) >= shortest:
@@ -103,13 +110,15 @@ def _spans(batches, span: int, length: int, size: int):
             yield pa.RecordBatch.from_arrays([batch.column(i).slice(lo, hi - lo) for i in (0, 1)] + cols, names=["doc", "body", *names])
 
 
-def _packed(batches):
-    """The batches with their texts compressed, for the shuffle."""
+def _packed(batches, live: np.ndarray):
+    """The texts of rows whose key the bit map has, compressed, for the shuffle."""
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch):
-            packed = pa.array([pack(data[a:b].tobytes()) for a, b in zip(offs[:-1], offs[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), packed], names=["doc", "body", "packed"])
+            key = batch.column(batch.schema.get_field_index("key")).slice(lo, hi - lo).to_numpy().view(np.uint64)
+            at = np.flatnonzero(K.marked(live, key))
+            packed = pa.array([pack(data[offs[i] : offs[i + 1]].tobytes()) for i in at], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo).take(pa.array(at)) for i in (0, 1)), packed], names=["doc", "body", "packed"])
 
 
 def _unpacked(batches):
@@ -140,17 +149,65 @@ def _kept(batches, size: int, with_text: bool):
             yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(removed, pa.int64()), pa.array(shas), pa.array(texts, pa.string())], names=["doc", "body", "n_removed", "kept_sha256", "kept_text"])
 
 
-def _hits(found: DataFrame, last: bool) -> DataFrame:
-    """Places in each document of spans that start in two documents; at the last level, in an earlier one."""
-    names = ["h", "g"][: 1 + last]
-    spans = found.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
-    twice = spans.groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
-    # The earliest document of a window still has to be compared at the next level, but loses nothing at the last.
-    hits = spans.join(twice, names).where("doc > least" if last else "true")
-    return hits.groupBy("doc", "body").agg(F.array_sort(F.collect_set("at")).alias("at"))
+class Repeats:
+    """The repeated spans that are broadcast, and a bit map of the others."""
+
+    def __init__(self, near: list[np.ndarray], others: np.ndarray | None):
+        h, self.g, self.least = near[0].view(np.uint64), near[1] if len(near) > 2 else None, near[-1]
+        self.spans, self.others = K.Lookup(K.mix(h.copy())), others  # mixed, since least hashes are small
+
+    def sort_out(self, doc: np.ndarray, h: np.ndarray, g: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """True where a span is a hit for sure, and where it has to be joined."""
+        h = h.view(np.uint64)
+        at = self.spans.find(K.mix(h.copy()))
+        sure = at >= 0
+        if g is not None:
+            sure &= self.g[at] == g if len(self.least) else False
+            known = sure.copy()
+            sure &= doc > self.least[at] if len(self.least) else False
+        else:
+            known = sure
+        rest = ~known & K.marked(self.others, h << K.U(32)) if self.others is not None else np.zeros(len(h), bool)
+        return sure, rest
+
+
+def _sorted_out(batches, held, names: list[str]):
+    """doc, body, sure (places that are hits), and the spans that have to be joined."""
+    for batch in batches:
+        at = batch.column(batch.schema.get_field_index("at"))
+        n = np.diff(at.offsets.to_numpy()).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(n)])
+        doc = np.repeat(batch.column(0).to_numpy(), n)
+        values = [batch.column(batch.schema.get_field_index(c)).flatten().to_numpy() for c in names]
+        place = at.flatten().to_numpy()
+        sure, rest = held.value.sort_out(doc, values[0], values[1] if len(values) > 1 else None)
+        lists = lambda keep, x: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(keep)])[first], pa.int32()), pa.array(x[keep]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(sure, place), lists(rest, place), *(lists(rest, x) for x in values)], names=["doc", "body", "sure", "at", *names])
 
 
-def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=20, with_text=False) -> DataFrame:
+def _hits(found: DataFrame, last: bool, broadcast_rows: int) -> DataFrame:
+    """(doc, body, at): places of spans that start in two documents; at the last level, in an earlier one.
+
+    The earliest document of a window has to be compared at the next level too, but loses nothing at the last.
+    """
+    names = ["h", "g"][: 1 + last]
+    exploded = lambda df: df.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
+    every = exploded(found).groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
+    twice = stored(every.where("least < most").drop("most"))
+    cut = most_frequent(twice, "n", broadcast_rows)
+    others = twice.where(F.col("n") < cut)
+    near = columns(twice.where(F.col("n") >= cut).select(*names, "least"))
+    held = found.sparkSession.sparkContext.broadcast(Repeats(near, marks(others, F.shiftleft("h", 32)) if cut else None))
+    kind = "doc long, body long, sure array<int>, at array<int>" + "".join(f", {c} array<long>" for c in names)
+    split = found.select("doc", "body", "at", *names).mapInArrow(lambda b: _sorted_out(b, held, names), kind)
+    hits = split.where("size(sure) > 0").select("doc", "body", "sure")
+    if cut:
+        joined = exploded(split).join(others.drop("n"), names).where("doc > least" if last else "true")
+        hits = hits.union(joined.select("doc", "body", F.array("at")))
+    return hits.groupBy("doc", "body").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sure")))).alias("at"))
+
+
+def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=10, with_text=False, broadcast_rows=1 << 20) -> DataFrame:
     """doc_id, body (its text's xxhash64), n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
 
     kept_text is the kept words joined by a space; it is null where no word is removed, and everywhere unless
@@ -159,21 +216,24 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     # A row is known by its id and its text's hash; a null id stands as the largest.
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     key, steps = ["doc", "body"], levels(size, shortest)
+    keyed = rows.withColumn("key", F.xxhash64("doc", "body"))
     schema = lambda length: "doc long, body long, at array<int>, h array<long>" + ", g array<long>" * (length == size)
     found = stored(rows.mapInArrow(lambda b: _spans(b, 0, steps[0], size), schema(steps[0]) + ", n_words long, whole string"))
     # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
     least = found.groupBy("whole").agg(F.min("doc").alias("first"))
     judged = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
     digests = judged.select(*key, "n_words", "whole", "copy")
-    # Of the texts only those with surviving spans go on. What is stored must have no other name here: its shuffle
-    # files would stay until the end.
-    first = lambda: rows.mapInArrow(_packed, "doc long, body long, packed binary").join(_hits(judged.where(~F.col("copy")), steps[0] == size), key)
-    live = stored(first(), release=True) if len(steps) > 1 else first()
-    for span, length in zip(steps, steps[1:]):
-        spans = partial(lambda b, s, n: _spans(_unpacked(b), s, n, size), s=span, n=length)
-        following = lambda: live.select(*key, "packed").join(_hits(live.mapInArrow(spans, schema(length)), length == size), key)  # noqa: E731, B023
-        live = stored(following(), release=True) if length < size else following()
-    cut = live.mapInArrow(lambda b: _kept(_unpacked(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
+    spans = stored(judged.where(~F.col("copy")).select(*key, "at", "h", *["g"] * (steps[0] == size)))
+
+    def texts(hits: DataFrame) -> DataFrame:
+        live = docs.sparkSession.sparkContext.broadcast(marks(hits, F.xxhash64("doc", "body")))
+        return keyed.mapInArrow(lambda b: _packed(b, live.value), "doc long, body long, packed binary").join(hits, key)
+
+    for k, length in enumerate(steps):
+        hits = stored(_hits(spans, length == size, broadcast_rows))
+        if length < size:
+            spans = stored(texts(hits).mapInArrow(lambda b, s=length, n=steps[k + 1]: _spans(_unpacked(b), s, n, size), schema(steps[k + 1])))
+    cut = texts(hits).mapInArrow(lambda b: _kept(_unpacked(b), size, with_text), "doc long, body long, n_removed long, kept_sha256 string, kept_text string").dropDuplicates(key)
     doc_id = F.when(F.col("doc") != LAST, F.col("doc")).cast(docs.schema[id_col].dataType)
     one = lambda copied, else_, kept: F.when(F.col("copy"), copied).otherwise(F.coalesce(kept, else_))
     return digests.join(cut, key, "left").select(
@@ -189,13 +249,17 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
 def without_passages(docs: DataFrame, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
     """The rows of `docs`, with all their columns, their texts without the repeated passages.
 
-    A text that loses words is left as its kept words, joined by a space; a row that loses all its words goes.
+    A text that loses words is left as its kept words, joined by a space; a row that loses all its words goes. Only the
+    texts that change are shuffled, unless these are more rows than a broadcast may have.
     """
-    cut = repeated_passages(docs, id_col, text_col, with_text=True, **sizes).where("n_removed > 0")
-    cut = cut.select(F.col("doc_id").alias("cut_id_"), F.col("body").alias("cut_body_"), F.col("kept_text").alias("kept_text_")).dropDuplicates(["cut_id_", "cut_body_"])
-    same = F.col(id_col).eqNullSafe(F.col("cut_id_")) & (F.xxhash64(text_col) == F.col("cut_body_"))
-    out = docs.join(cut, same, "left").where("kept_text_ is null or kept_text_ <> ''")
-    return out.select(*(F.coalesce("kept_text_", text_col).alias(text_col) if c == text_col else F.col(c) for c in docs.columns))
+    one, body, kept = fresh(docs, "cut_id", "cut_body", "cut_text")
+    cut = stored(repeated_passages(docs, id_col, text_col, with_text=True, **sizes).where("n_removed > 0"))
+    cut = cut.select(F.col("doc_id").alias(one), F.col("body").alias(body), F.col("kept_text").alias(kept)).dropDuplicates([one, body])
+    rows = docs.withColumn(body + "_", F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col(one)) & (F.col(body + "_") == F.col(body))
+    whole = rows.join(bounded(cut.select(one, body)), same, "left_anti").select(docs.columns)
+    changed = rows.drop(text_col).join(cut.where(F.col(kept) != ""), same)
+    return whole.unionByName(changed.withColumnRenamed(kept, text_col).select(docs.columns))
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -36,57 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import stored, table
+from .common import columns, marks, most_frequent, stored, table
 
 DISCOUNT = 0.5
 SLICE = 1 << 19  # bytes of text whose arrays a worker holds at once
 HELD, EMITTED = 400_000, 1_000_000  # rows that a worker holds unmerged, and merged before it emits them
 BEGIN, END, RARE = 0, 1, 2  # symbols; the shapes and the frequent words follow
 _G = K.U(0x9E3779B97F4A7C15)
-MARKS = 26  # leading bits of a hash that number its place in a bit map
-
-
-class Lookup:
-    """Places of 64-bit hashes in a fixed set, without a search: a table by their leading bits, then a few steps."""
-
-    def __init__(self, keys: np.ndarray):
-        self.order = np.argsort(keys, kind="stable")
-        self.keys = keys[self.order]
-        bits = max(1, int(np.ceil(np.log2(len(keys) + 1))))
-        self.shift = K.U(64 - bits)
-        self.first = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
-
-    def find(self, q: np.ndarray) -> np.ndarray:
-        """The index that each key had, or -1."""
-        out = np.full(len(q), -1, np.int32)
-        if not len(self.keys):
-            return out
-        top = (q >> self.shift).astype(np.int64)
-        at, end = self.first[top], self.first[top + 1]
-        live = np.flatnonzero(at < end)
-        while len(live):
-            own = at[live]
-            hit = self.keys[own] == q[live]
-            out[live[hit]] = self.order[own[hit]]
-            own = own + 1
-            more = ~hit & (own < end[live])
-            at[live] = own
-            live = live[more]
-        return out
-
-
-def _marks(keys: DataFrame) -> np.ndarray:
-    """A bit map, of fixed size, of the column `key`."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", 64 - MARKS).bitwiseAND(63).cast("int"))
-    word, bits = _columns(keys.groupBy(F.shiftrightunsigned("key", 64 - MARKS + 6).alias("word")).agg(F.bit_or(bit).alias("bits")))
-    out = np.zeros(1 << MARKS - 6, np.uint64)
-    out[word] = bits.view(np.uint64)
-    return out
-
-
-def _marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """False only for keys that the bit map doesn't have."""
-    return (marks[keys >> K.U(64 - MARKS + 6)] >> (keys >> K.U(64 - MARKS) & K.U(63)) & K.U(1)).astype(bool)
 
 
 def _tokens(data: np.ndarray, offs: np.ndarray):
@@ -133,10 +89,10 @@ class Model:
         the shapes that are; rest: (n, distinct, once) of all others; least: tokens that make a symbol."""
         self.total, self.bottom = total, total + 0.5 * (distinct + 1)
         self.ends = ends
-        self.words, self.counts = Lookup(words[0]), words[1]
+        self.words, self.counts = K.Lookup(words[0]), words[1]
         frequent = np.flatnonzero(words[1] >= least)
         big = len(shapes[0])
-        self.shapes = Lookup(shapes[0])
+        self.shapes = K.Lookup(shapes[0])
         tokens, kinds, once = (np.concatenate([[r], c]).astype(float) for r, c in zip(rest, shapes[1:]))
         self.symbols = 3 + big + len(frequent)
         self.symbol_of = np.full(len(words[0]) + 1, -1, np.int32)  # the last for words that aren't in the table
@@ -203,7 +159,7 @@ class Model:
             near = state >= 0
             out[near] += level["back"][state[near]]
             if far is not None and self.marks:
-                away = np.flatnonzero(~near & (key != 0) & _marked(self.marks[0], key))
+                away = np.flatnonzero(~near & (key != 0) & K.marked(self.marks[0], key))
                 far.append((away, key[away]))
                 near[away] = True
             # Contexts that the bit map lets through by mistake have no entries.
@@ -214,14 +170,14 @@ class Model:
             out[own[hit]] += level["log"][entry[hit]]
             if far is not None and self.marks:
                 miss = np.flatnonzero(~hit)
-                miss = miss[_marked(self.marks[1], hashes[miss])]
+                miss = miss[K.marked(self.marks[1], hashes[miss])]
                 far.append((own[miss], hashes[miss]))
         return out
 
     def add(self, contexts, entries):
         """Adds a level: columns (key, back) of contexts, (key, x, log) of entries, of which log adds to back."""
         key, x, log = entries
-        self.levels.append({"contexts": Lookup(contexts[0].view(np.uint64)), "back": contexts[1], "entries": Lookup(_entry(key.view(np.uint64), x)), "log": log})
+        self.levels.append({"contexts": K.Lookup(contexts[0].view(np.uint64)), "back": contexts[1], "entries": K.Lookup(_entry(key.view(np.uint64), x)), "log": log})
 
 
 def _entry(key: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -256,7 +212,7 @@ def _next_symbols(batches, model: Model, k: int, last: bool, wanted: np.ndarray
             keys = model.contexts(s, k if last else k + 1)
             ok = keys[k - 1] != 0
             if wanted is not None:
-                ok &= _marked(wanted, keys[k - 1])
+                ok &= K.marked(wanted, keys[k - 1])
             ok = np.flatnonzero(ok)
             more = [] if last else [np.concatenate([keys[k][1:], np.zeros(1, np.uint64)])[ok]]
             parts.append(_merged([(keys[k - 1][ok], s[ok], *(x[ok] for x in keys[: k - 1]), *more, np.ones(len(ok)))]))
@@ -297,22 +253,6 @@ def _level(pairs: DataFrame, totals: DataFrame, root: DataFrame, lower: list[tup
     return contexts, stored(rows.join(contexts.select("key", "back"), "key").select("key", "x", "n", (F.log("p") - F.col("value") - F.col("back")).alias("log")))
 
 
-def _columns(df: DataFrame) -> list[np.ndarray]:
-    got = df.toArrow()
-    return [got[c].combine_chunks().to_numpy() for c in got.column_names]
-
-
-def _cut(df: DataFrame, col: str, most: int) -> int:
-    """The least power of two (0 for all rows) that at most `most` rows of the column reach."""
-    sizes = sorted(df.groupBy(F.length(F.bin(col)).alias("bits")).count().collect(), reverse=True)
-    held = 0
-    for bits, n in sizes:
-        held += n
-        if held > most:
-            return 1 << bits
-    return 0
-
-
 def train(
     docs: DataFrame, text_col="text", *, depth=2, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, broadcast_rows=1 << 20
 ) -> tuple[Model, DataFrame]:
@@ -327,9 +267,9 @@ def train(
     total, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
     # Of the tables that come to the driver only the symbols' grows: a word for `symbol_count` tokens at most.
     least = max(1.0, min(symbol_count, symbol_share * total))
-    words = _columns(counts.where(F.col("n") >= min(least, max(1, table_share * total))).select("h", "n").orderBy("h"))
+    words = columns(counts.where(F.col("n") >= min(least, max(1, table_share * total))).select("h", "n").orderBy("h"))
     below = counts.where(F.col("n") < least).groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once"))
-    shapes = _columns(below.where(F.col("n") >= least).orderBy("shape"))
+    shapes = columns(below.where(F.col("n") >= least).orderBy("shape"))
     every = below.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once"))).first()
     rest = [x - int(c.sum()) for x, c in zip(every, shapes[1:])]
     model = Model(total, distinct, ends, (words[0].view(np.uint64), words[1]), (shapes[0].view(np.uint64), *shapes[1:]), rest, least)
@@ -348,10 +288,10 @@ def train(
         pairs = pairs.groupBy("key", "x").agg(*(F.any_value(c).alias(c) for c in names[2:-1]), F.sum("n").alias("n"))
         pairs = stored(pairs.where(F.col("n") >= kept))
         contexts, entries = _level(pairs, F.broadcast(totals) if k == 1 else totals, root, lower, divergence)
-        near, close = _cut(contexts, "total", broadcast_rows), _cut(entries, "n", broadcast_rows)
+        near, close = most_frequent(contexts, "total", broadcast_rows), most_frequent(entries, "n", broadcast_rows)
         model.add(
-            _columns(contexts.where(F.col("total") >= near).select("key", "back").orderBy("key")),
-            _columns(entries.where(F.col("n") >= close).select("key", "x", "log").orderBy("key", "x")),
+            columns(contexts.where(F.col("total") >= near).select("key", "back").orderBy("key")),
+            columns(entries.where(F.col("n") >= close).select("key", "x", "log").orderBy("key", "x")),
         )
         if near or close:
             away = contexts.where(F.col("total") < near).select("key", F.col("back").alias("value"))
@@ -360,12 +300,12 @@ def train(
         if not last:
             # A context is as often followed by something as it occurs, so the pairs have the longer ones' totals.
             totals = stored(pairs.where((F.col("n") >= often) & (F.col("longer") != 0) & (F.col("x") != END)).groupBy(F.col("longer").alias("key")).agg(F.sum("n").alias("total")))
-            wanted = _marks(totals)
+            wanted = marks(totals, F.col("key"))
             if not wanted.any():
                 break
     if far:
         away, rare = (reduce(DataFrame.union, part) for part in zip(*far))
-        model.marks = _marks(away), _marks(rare)
+        model.marks = marks(away, F.col("key")), marks(rare, F.col("key"))
         model.tail = stored(away.union(rare))
     return model, counts.select("h", "n")
 
