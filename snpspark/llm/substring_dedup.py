@@ -220,8 +220,8 @@ def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size
     schema = lambda length: "doc long, body long, at array<int>, h array<long>" + ", g array<long>" * (length == size)
     found = stored(rows.mapInArrow(lambda b: _spans(b, 0, steps[0], size), schema(steps[0]) + ", n_words long, whole string"))
     # A document with exactly the words of an earlier one loses them all; only the earliest is compared.
-    least = found.groupBy("whole").agg(F.min("doc").alias("first"))
-    judged = found.join(least, "whole").withColumn("copy", (F.col("doc") > F.col("first")) & (F.col("n_words") >= size))
+    copied = found.where(F.col("n_words") >= size).groupBy("whole").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+    judged = found.join(bounded(copied.where("n > 1").drop("n")), "whole", "left").withColumn("copy", F.coalesce(F.col("doc") > F.col("first"), F.lit(False)))
     digests = judged.select(*key, "n_words", "whole", "copy")
     spans = stored(judged.where(~F.col("copy")).select(*key, "at", "h", *["g"] * (steps[0] == size)))
 
