@@ -158,8 +158,8 @@ def test_gradients_lower_the_loss():
 
 def test_odd_rows_of_decontamination(spark, odd, nothing):
     items = spark.createDataFrame([(1, "A b C"), (2, None), (3, ""), (4, LONG[:4000]), (5, "a b c")], "item_id long, text string").withColumn("doc_id", F.lit(1))
-    for block in (50_000, 100):
-        got = decontamination.benchmark_hits(odd, items, block=block).collect()
+    for limits in ({}, {"block": 100}, {"most_windows": 0}):
+        got = decontamination.benchmark_hits(odd, items, **limits).collect()
         assert len(got) == len(ODD)
         by = {r["doc_id"]: r for r in got}
         assert by[1]["n_hit"] == 3 and by[1]["items"] == ["1", "5"] and by[4]["contaminated"] and by[4]["items"] == ["4"] and by[2]["n_words"] == 0 and not by[7]["contaminated"]
