@@ -5,14 +5,15 @@ every document to its bucket's boundary wastes the fewest tokens. Inside a bucke
 as many as the token budget holds at the boundary's length form a batch; a document longer than the budget is a batch
 of its own.
 
-The histogram reaches the driver with lengths above 2,048 rounded up to eleven leading bits (at most some 55,000 cells
-for any lengths); sums stay exact, and a cell's bound is the greatest length in it. The numbering is distributed: documents are numbered within cells of equal rounded
-length, of which those with more than `group` documents are split by a hash of the id, and each cell starts where the
-counts of those before it end.
+The histogram reaches the driver: a cell for each length up to 65,536 tokens, so that for documents up to that length
+the boundaries are the best there are. Greater lengths are counted in cells of sixteen leading bits (at most some
+32,000 cells for each doubling), with exact sums and the greatest length in a cell as its bound; a bucket's bound is the
+length of its longest member. The numbering is distributed: documents are numbered within their cells, of which those
+with more than `group` documents are split by a hash, and each cell starts where the counts of those before it end.
 
 Edge cases: null and empty texts have length 0 and lie in the first bucket. Each input row gives a row, repeated rows
-too; which of two rows of the same length and id comes first is open. Null ids come first. Other columns are ignored.
-An empty table gives an empty result.
+too; which of two rows of the same length and id comes first is open, and repeated or null ids are split like others.
+Other columns are ignored, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, table, words_of
+from .common import columns, stored, table, words_of
 
-_EXACT = 11
+_EXACT = 16
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, buckets: int) -> list[int]:
@@ -70,27 +71,27 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, bucket
 
 
 def cell(n: Column) -> Column:
-    """n, rounded up to its eleven leading bits."""
+    """n, rounded up to its sixteen leading bits."""
     bits = F.greatest(F.length(F.bin(F.greatest(n, F.lit(1)) - 1)) - _EXACT, F.lit(0))
     unit = F.call_function("shiftleft", F.lit(1).cast("long"), bits.cast("int"))
     return (F.ceil(n / unit) * unit).cast("long")
 
 
-def pack(docs: DataFrame, id_col="doc_id", length: Column | None = None, text_col="text", *, buckets=16, budget=32_768, group=200_000) -> DataFrame:
+def pack(docs: DataFrame, id_col="doc_id", length: Column | None = None, text_col="text", *, buckets=16, budget=32_768, group=20_000) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_tokens (its bound), batch (numbers unique over all buckets) and slot."""
     length = F.size(words_of(F.col(text_col))) if length is None else length
     rows = stored(docs.select(F.col(id_col).alias("doc_id"), length.cast("long").alias("n_tokens")))
     rows = rows.withColumn("cell", cell(F.col("n_tokens")))
     histogram = rows.groupBy("cell").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("most"))
-    seen = histogram.orderBy("cell").toPandas()
-    bounds = boundaries(*(seen[k].to_numpy() for k in ("most", "n", "tokens")), buckets)
+    bounds = boundaries(*columns(histogram.orderBy("cell").select("most", "n", "tokens")), buckets)
     bucket, bound = F.lit(len(bounds) - 1), F.lit(bounds[-1] if bounds else 0).cast("long")
     for k in range(len(bounds) - 2, -1, -1):
         inside = F.col("n_tokens") <= bounds[k]
         bucket, bound = F.when(inside, k).otherwise(bucket), F.when(inside, F.lit(bounds[k]).cast("long")).otherwise(bound)
-    # The histogram is small (see above) and says into how many groups a cell is split.
+    # The histogram is small (see above) and says into how many groups a cell is split. Rows are stored, so that each
+    # has its partition for good; with its number repeated ids are split too.
     splits = histogram.select("cell", F.ceil(F.col("n") / group).alias("splits"))
-    rows = rows.join(F.broadcast(splits), "cell").withColumn("split", F.when(F.col("splits") > 1, F.pmod(F.xxhash64("doc_id"), "splits")).otherwise(0))
+    rows = rows.join(F.broadcast(splits), "cell").withColumn("split", F.when(F.col("splits") > 1, F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), "splits")).otherwise(0))
     rows = rows.withColumn("bucket", bucket).withColumn("bucket_tokens", bound)
     own = Window.partitionBy("cell", "split").orderBy("n_tokens", "doc_id")
     groups = rows.groupBy("bucket", "cell", "split").agg(F.count("*").alias("n"))
