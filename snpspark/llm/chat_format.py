@@ -160,6 +160,13 @@ def loss_mask(text: Column) -> Column:
     return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step, lambda acc: acc["spans"])
 
 
+def learnt_text(text: Column) -> Column:
+    """What the loss mask of a formatted text covers, unescaped: the spans of loss_mask, without cutting the text for each."""
+    spoken = F.filter(F.split(text, F.lit("<\\|im_start\\|>")), lambda p: p.startswith("assistant\n"))
+    head = len("assistant\n")
+    return F.array_join(F.transform(spoken, lambda p: unescape(F.substring(p, F.lit(head + 1), F.length(p) - F.lit(head + len(END) + 1)))), "")
+
+
 def read_back(text: Column) -> Column:
     """The turns of a formatted text."""
     parts = F.split(text, F.lit("<\\|im_start\\|>"))
@@ -210,8 +217,7 @@ def op4_chat_formatting(spark, sf_dir: str) -> DataFrame:
     # Records built here have a layout; one that has none could not be read.
     lost = F.raise_error(F.concat(F.lit("no layout for the conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))).cast("string")
     out = out.withColumn("formatted", F.when(F.col("layout").isNull(), lost).otherwise(F.col("formatted"))).withColumn("turns", read_back(F.col("formatted")))
-    learnt = F.array_join(F.transform("spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]))), "")
-    out = out.withColumn("learnt", learnt)
+    out = out.withColumn("learnt", learnt_text(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id",

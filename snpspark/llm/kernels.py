@@ -76,19 +76,26 @@ def words(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tupl
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each span of bytes: a sum of random values by byte and place, mixed with the length."""
+    """A 64-bit hash of each span of bytes: a sum of random values by byte and place, mixed with the length.
+
+    Spans are worked off about SLICE_BYTES at a time, so that a long text takes little more than its spans' numbers.
+    """
     lens = ends - starts
     out = np.zeros(len(starts), np.uint64)
     full = np.flatnonzero(lens > 0)
-    if len(full):
-        s, ln = starts[full], lens[full]
-        first = np.concatenate([[0], np.cumsum(ln)[:-1]])
-        place = np.arange(int(ln.sum()), dtype=np.int64) - np.repeat(first, ln)
+    total = np.concatenate([[0], np.cumsum(lens[full])])
+    lo = 0
+    while lo < len(full):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + SLICE_BYTES, side="right")) - 1)
+        own = full[lo:hi]
+        s, ln, first = starts[own], lens[own], total[lo:hi] - total[lo]
+        place = np.arange(int(total[hi] - total[lo]), dtype=np.int64) - np.repeat(first, ln)
         byte = data[place + np.repeat(s, ln)]
         value = _PLACES[((place & 255) << 8) | byte]
         if ln.max() > 256:
             value *= ((place >> 8) * 2 + 1).astype(np.uint64)
-        out[full] = np.add.reduceat(value, first)
+        out[own] = np.add.reduceat(value, first)
+        lo = hi
     return mix(out + lens.astype(np.uint64) * _GOLD + U(seed))
 
 

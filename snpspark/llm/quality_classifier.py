@@ -8,7 +8,9 @@ quantile of the sample's scores that separates the labels best; scores are mappe
 
 Edge cases: null and empty texts have features of zero and are scored. With labels of one kind only or none, every
 score is that label, 1 without labels (nothing is rejected without evidence). Each input row gives a row, repeated rows
-too; other columns are ignored, and labels that are null or have no document are left out.
+too; other columns are ignored, and labels that are null or have no document are left out. Of an id's several labels the
+better counts; of its several documents the one with the least hash is learnt from, so that the model doesn't depend on
+order.
 """
 
 from __future__ import annotations
@@ -45,8 +47,12 @@ def features(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Rows x FEATURES, each about 0 to 1."""
     rows = len(offs) - 1
     size = np.diff(offs)
-    row = np.repeat(np.arange(rows), size)
-    chars = np.bincount(row * CHARS + _KIND[data], minlength=rows * CHARS).reshape(rows, CHARS) / np.maximum(1, size)[:, None]
+    chars = np.zeros(rows * CHARS)
+    for k in range(0, len(data), K.SLICE_BYTES):  # a long text is a slice of its own
+        part = data[k : k + K.SLICE_BYTES]
+        row = np.searchsorted(offs, np.arange(k, k + len(part)), side="right") - 1 if rows > 1 else 0
+        chars += np.bincount(row * CHARS + _KIND[part].astype(np.int64), minlength=rows * CHARS)
+    chars = chars.reshape(rows, CHARS) / np.maximum(1, size)[:, None]
     starts, ends, first = K.words(data, offs)
     n = np.diff(first)
     of = K.row_of(first)
@@ -130,17 +136,19 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", *, most=20_000, cut=0.7) -> Model:
     """A model of the labelled rows. labels: id and 0/1, the rows to learn from; `most` of them at most are used."""
     labels = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
-    sample = labels.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(most).dropDuplicates(["doc_id"])
+    sample = labels.orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(most).groupBy("doc_id").agg(F.max("y").alias("y"))
     rows = _rows(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "y")  # the sample's size is bounded
+    rows = rows.withColumn("body", F.xxhash64("text"))
 
     def fetch(batches):
         for batch in batches:
             for lo, hi, data, offs in K.slices(batch):
                 x = pa.FixedSizeListArray.from_arrays(pa.array(features(data, offs).ravel()), FEATURES).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), x, batch.column(2).slice(lo, hi - lo)], names=["doc_id", "x", "y"])
+                yield pa.RecordBatch.from_arrays([x, *(batch.column(i).slice(lo, hi - lo) for i in (0, 2, 3))], names=["x", "doc_id", "y", "body"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(fetch, f"doc_id {kind}, x array<double>, y int").toArrow().sort_by("doc_id")
+    one = rows.mapInArrow(fetch, f"x array<double>, doc_id {kind}, y int, body long").groupBy("doc_id").agg(F.min_by(F.struct("x", "y"), "body").alias("t"))
+    got = one.select("doc_id", "t.*").toArrow().sort_by("doc_id")
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES) if len(got) else np.zeros((0, FEATURES))
     return Model().fit(x, got["y"].to_numpy(), cut=cut)
 

@@ -254,7 +254,7 @@ def _level(pairs: DataFrame, totals: DataFrame, root: DataFrame, lower: list[tup
 
 
 def train(
-    docs: DataFrame, text_col="text", *, depth=2, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, broadcast_rows=1 << 20
+    docs: DataFrame, text_col="text", *, depth=4, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, broadcast_rows=1 << 20
 ) -> tuple[Model, DataFrame]:
     """The model of the texts, and (h, n): the counts of all words."""
     spark = docs.sparkSession

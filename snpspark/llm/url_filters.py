@@ -82,7 +82,8 @@ def listed_urls(rows: DataFrame, listed: DataFrame, *, most_blocks=1 << 17) -> D
     for i, w in enumerate(words):
         need = need & (w.bitwiseAND(F.bitwise_not(F.col(f"w{i}"))) == 0)
     probed = rows.withColumn("block_", block).join(size(bloom.withColumnRenamed("block", "block_")), "block_", "left")
-    probed = probed.withColumn("maybe_", F.coalesce(need, F.lit(False))).select(*rows.columns, "maybe_")
+    # Stored, so that the rows are made and probed once for both parts.
+    probed = stored(probed.withColumn("maybe_", F.coalesce(need, F.lit(False))).select(*rows.columns, "maybe_"))
     # Only possible hits meet the list; a hot url is one row there, and Spark splits its partition on this side.
     exact = listed.select("canon", F.lit(True).alias("listed"))
     hits = probed.where("maybe_").join(exact, "canon", "left").select(*rows.columns, F.coalesce("listed", F.lit(False)).alias("listed"))
