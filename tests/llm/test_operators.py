@@ -16,7 +16,8 @@ from snpspark.llm import chat_format, components, decontamination, packing, qual
 from snpspark.llm.common import table
 
 SQL = queries.oracle_sql()
-LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+N_LONG = 230_000  # words; more than a slice of text
+LONG = " ".join(f"w{i % 977}" for i in range(N_LONG))
 #: Nulls, empty and very long texts, ties and repeated rows; further columns with names that the operators use.
 ODD = [(1, "a b c", "s", "en"), (1, "a b c", "s", "en"), (2, None, None, None), (3, "", "s", "en"), (None, "x y z", "t", None), (4, LONG, "s", "en"), (5, LONG, "s", "de"), (6, " \n ", "s", "en"), (7, "A|b! é", "s", "en")]
 
@@ -24,7 +25,7 @@ ODD = [(1, "a b c", "s", "en"), (1, "a b c", "s", "en"), (2, None, None, None),
 @pytest.fixture(scope="module")
 def odd(spark):
     df = spark.createDataFrame(ODD, "doc_id long, text string, source string, lang string")
-    return df.select("*", *(F.lit(7).alias(c) for c in ("n_words", "score", "body", "h", "fp", "cell", "word", "kept", "doc", "host", "bucket", "rows")))
+    return df.select("*", *(F.lit(7).alias(c) for c in ("n_words", "score", "body", "h", "fp", "cell", "word", "kept", "doc", "host", "bucket", "rows", "cut_id", "CUT_BODY", "cut_text", "hit_id", "hit_body", "gone_id", "gone_body", "own_id", "node", "set", "key", "pos")))
 
 
 @pytest.fixture(scope="module")
@@ -37,9 +38,15 @@ def test_query_equals_its_sql(name, agrees):
     agrees(queries.queries()[name], SQL[name])
 
 
+def test_many_hosts_are_joined_by_shuffle(odd, monkeypatch):
+    want = sorted(map(str, quality_rules.quality_rules(odd).collect()))
+    monkeypatch.setattr(quality_rules, "MAX_BROADCAST_HOSTS", 0)
+    assert sorted(map(str, quality_rules.quality_rules(odd).collect())) == want
+
+
 def test_odd_rows_of_rules(odd, nothing):
     got = quality_rules.quality_rules(odd).collect()
-    assert len(got) == len(ODD) and {r["doc_id"]: r["n_words"] for r in got}[4] == 30_000 and not any(r["kept"] for r in got if r["n_words"] < 10)
+    assert len(got) == len(ODD) and {r["doc_id"]: r["n_words"] for r in got}[4] == N_LONG and not any(r["kept"] for r in got if r["n_words"] < 10)
     assert quality_rules.quality_rules(nothing).count() == 0
 
 
@@ -63,6 +70,7 @@ def test_urls(spark, monkeypatch):
         assert {r["page_id"]: (r["rule"], r["verdict"]) for r in got} == want
         assert {r["page_id"]: (r["host"], r["path"]) for r in got}[5] == ("", "")
     assert url_filters.url_filter(pages, url_filters.RULES, listed.where("false")).where("listed").count() == 0
+    assert url_filters.url_filter(pages.where("false"), url_filters.RULES, listed).count() == 0
 
 
 def test_filter_has_no_false_negatives(spark):
@@ -92,10 +100,12 @@ def test_formatted_chats_read_back(spark):
     convs = [[(rng.choice(["user", "assistant", "x\ny", "<|", "", "a\\nb"]), "".join(rng.choices(parts, k=rng.randint(0, 12)))) for _ in range(rng.randint(0, 6))] for _ in range(300)]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(convs)], f"conv_id long, turns {chat_format.TURNS}")
     out = df.withColumn("f", chat_format.formatted(F.col("turns"))).withColumn("back", chat_format.read_back(F.col("f"))).withColumn("spans", chat_format.loss_mask(F.col("f")))
+    out = out.withColumn("learnt", chat_format.learnt_text(F.col("f")))
     for r in out.collect():
         assert [tuple(t) for t in r["back"]] == convs[r["conv_id"]]
         learnt = [r["f"][s["start"] : s["end"]].replace("<\\|", "<|").replace("\\\\", "\\") for s in r["spans"]]
         assert learnt == [t for role, t in convs[r["conv_id"]] if role == "assistant"]
+        assert "".join(learnt) == r["learnt"]
 
 
 def test_large_conversations_keep_their_turns(spark):
@@ -122,15 +132,17 @@ def test_odd_turns(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat_format.canonical_turns(chat_format.chat_records(df)).collect()}
     assert got == {1: [("user", ""), ("", "x"), ("", "x")], None: [("assistant", "y")], 2: [("user", "a"), ("user", "b")]}
+    assert chat_format.format_chats(chat_format.chat_records(df.where("false"))).count() == 0
 
 
-@pytest.mark.parametrize(("module", "column", "cut"), [(toxicity, "toxic", 0.9), (quality_classifier, "quality", 0.97)])
-def test_held_out_accuracy(spark, module, column, cut):
+@pytest.mark.parametrize(("module", "column", "cut"), [(toxicity, "toxic", 0.95), (quality_classifier, "quality", 0.97)])
+def test_held_out_precision_and_recall(spark, module, column, cut):
     query = {toxicity: toxicity.op1_toxicity, quality_classifier: quality_classifier.op5_quality_classifier}[module]
     sf = "/root/testdata/sf0.1"
     got = query(spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out")
-    right = got.agg(F.avg((F.col("predicted") == F.col(column)).cast("double"))).first()[0]
-    assert right > cut
+    n = {(r[0], r[1]): r[2] for r in got.groupBy("predicted", column).count().collect()}
+    caught, wrong, missed = n.get((1, 1), 0), n.get((1, 0), 0), n.get((0, 1), 0)
+    assert caught / (caught + wrong) > cut and caught / (caught + missed) > cut
     assert got.where("score < 0 or score > 1 or score is null").count() == 0
 
 
@@ -156,6 +168,50 @@ def test_gradients_lower_the_loss():
     assert np.allclose(together, scores, atol=1e-5)
 
 
+def test_training_and_wide_filters_matter(monkeypatch):
+    """Toxic is what has word 1 right before word 2; single words say nothing, so neither widths of one nor the start do."""
+    rng = np.random.default_rng(1)
+
+    def text(toxic):
+        words = rng.integers(10, 60, 24)
+        at = rng.choice(np.arange(0, 24, 3), 2, replace=False)
+        words[at[0]], words[at[0] + 1], words[at[1]] = (1, 2, 3) if toxic else (1, 3, 2)
+        return np.stack([words + k * toxicity.BUCKETS for k in range(len(toxicity.STEMS))], 1).astype(np.int32)
+
+    toxic = rng.integers(0, 2, 1200)
+    texts = [text(y) for y in toxic]
+
+    def right(steps):
+        model = toxicity.Model().fit(texts[:900], toxic[:900], steps=steps)
+        return np.mean([(model.scores(t, np.array([0, len(t)]))[0] >= 0.5) == y for t, y in zip(texts[900:], toxic[900:])])
+
+    trained, started = right(600), right(0)
+    monkeypatch.setattr(toxicity, "WIDTHS", (1, 1, 1))
+    single = right(600)
+    assert trained > 0.75 and started < 0.6 and single < 0.6
+
+
+def test_parts_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 500, (1000, len(toxicity.STEMS))).astype(np.int32)
+    model, first = toxicity.Model(), np.array([0, 1000])
+    want = model.logits(ids, first)
+    for part in (7, 64, 499):
+        monkeypatch.setattr(toxicity, "PART", part)
+        assert np.allclose(model.logits(ids, first), want, atol=1e-6)
+
+
+def test_training_sample_is_bounded_and_ordered(spark):
+    rows = [(i % 40, f"text {i} bad" if i % 3 else f"word {i}", "en") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    models = []
+    for order in (1, -1):
+        df = spark.createDataFrame(rows[::order], "doc_id long, text string, lang string").repartition(3 if order > 0 else 5)
+        models.append([toxicity.train(df, labels, steps=3, most_bytes=b)[0] for b in (10**6, 60)])
+    assert all((a.table == b.table).all() for a, b in zip(*models))
+    assert (models[0][0].table != models[0][1].table).any()
+
+
 def test_odd_rows_of_decontamination(spark, odd, nothing):
     items = spark.createDataFrame([(1, "A b C"), (2, None), (3, ""), (4, LONG[:4000]), (5, "a b c")], "item_id long, text string").withColumn("doc_id", F.lit(1))
     for limits in ({}, {"block": 100}, {"most_windows": 0}):
@@ -188,14 +244,117 @@ def test_base_scores_equal_counting(spark, sf):
         assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def _tree(texts, depth, symbol, often, kept, divergence):
+    """A function of a text for its score, by plain counting."""
+    train = [_tokens(x) for x in texts]
+    counts = collections.Counter(w for t in train for w in t if w is not None)
+    ends, total = len(train), sum(counts.values()) + len(train)
+    bottom = total + 0.5 * (len(counts) + 2)
+    rare = {w: n for w, n in counts.items() if n < symbol}
+    shapes = collections.Counter()
+    for w, n in rare.items():
+        shapes[w[-3:]] += n
+    kind = lambda w: w[-3:] if shapes[w[-3:]] >= symbol else None
+    symbol_of = lambda w: ("end",) if w is None else ("word", w) if counts[w] >= symbol else ("shape", kind(w))
+    groups = collections.defaultdict(list)
+    for w, n in rare.items():
+        groups[kind(w)].append(n)
+    groups[None]  # the rest is there even if it is empty
+    root = {("end",): (ends + 0.5) / bottom}
+    for w, n in counts.items():
+        if n >= symbol:
+            root["word", w] = (n + 0.5) / bottom
+    for k, ns in groups.items():
+        root["shape", k] = (sum(ns) + 0.5 * len(ns) + (0.5 if k is None else 0)) / bottom
+    share = {k: (sum(ns), len(ns), (sum(n == 1 for n in ns) + 0.5) / (sum(ns) + 1)) for k, ns in groups.items()}
+    seqs = [["begin", *map(symbol_of, t)] for t in train]
+    states = {}
+
+    def value(context, x):
+        """The probability of x behind the context: of its suffixes that are retained, from short to long."""
+        log = math.log(root[x])
+        for k in range(1, len(context) + 1):
+            if (state := states.get(context[-k:])) is not None:
+                log += state[0] + state[1].get(x, 0)
+        return log
+
+    live = None
+    for k in range(1, depth + 1):
+        pairs = collections.Counter()
+        for s in seqs:
+            for i in range(1, len(s)):
+                c = tuple(s[max(0, i - k) : i])
+                # A text's begin counts as the outermost symbol of a context.
+                if len(c) == k and (live is None or c in live):
+                    pairs[c, s[i]] += 1
+        totals = collections.Counter()
+        if live is None:
+            for (c, _), n in pairs.items():
+                totals[c] += n
+        else:
+            totals = live
+        pairs = {p: n for p, n in pairs.items() if n >= kept}
+        new = {}
+        for c in {c for c, _ in pairs if totals[c] >= often}:
+            next_ = {x: n for (d, x), n in pairs.items() if d == c}
+            p = {x: (n - 0.5) / totals[c] for x, n in next_.items()}
+            v = {x: value(c[1:], x) for x in p}
+            left = lambda y: max(1 - y, 1e-12)
+            back = math.log(left(sum(p.values()))) - math.log(left(sum(math.exp(y) for y in v.values())))
+            if sum(p[x] * (math.log(p[x]) - v[x]) for x in p) + (1 - sum(p.values())) * back >= divergence:
+                new[c] = (back, {x: math.log(p[x]) - v[x] - back for x in p})
+        states |= new
+        live = collections.Counter()
+        for (c, x), n in pairs.items():
+            if n >= often and x != ("end",):
+                live[(*c, x)] += n
+
+    def score(text):
+        t = _tokens(text)
+        s = ["begin", *map(symbol_of, t)]
+        out = 0
+        for i in range(1, len(s)):
+            out += value(tuple(s[max(0, i - depth) : i]), s[i]) / math.log(10)
+            if s[i][0] == "shape":
+                n, kinds, unseen = share[s[i][1]]
+                c = counts[t[i - 1]]
+                out += math.log10((c + 0.5) * (1 - unseen) / max(n + 0.5 * kinds, 0.5)) if c else math.log10(unseen)
+        return out
+
+    return score, states
+
+
+def test_scores_equal_a_plain_tree(spark):
+    rng = random.Random(8)
+    grammar = {"": "ab", "a": "bbbc", "b": "cad", "c": "aaad", "d": "ab", "bc": "d", "cd": "a", "ad": "c", "abc": "b", "dab": "d"}
+
+    def text():
+        out = ""
+        for _ in range(rng.randint(0, 30)):
+            context = next(out[len(out) - k :] for k in (3, 2, 1, 0) if out[len(out) - k :] in grammar and (k <= len(out)))
+            out += rng.choice(grammar[context])
+        return " ".join(f"w{x}" if rng.random() < 0.97 else f"w{x}{rng.randint(0, 40)}ing" for x in out)
+
+    texts = [text() for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    limits = dict(symbol_share=1.0, context_share=1.0, entry_share=1.0)
+    model = suffix_tree.train(docs, depth=4, symbol_count=20, context_count=12, entry_count=3, divergence=0.02, **limits)
+    score, states = _tree(texts, 4, 20, 12, 3, 0.02)
+    assert [len(x["back"]) for x in model[0].levels] == [sum(len(c) == k for c in states) for k in (1, 2, 3, 4)]
+    assert sum(len(c) == 3 for c in states) > 3 and sum(len(c) == 4 for c in states) > 0
+    asked = [*texts[:200], "wa wb wc zzz", "", "wb qing wa"]
+    got = suffix_tree.scores(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), *model).collect()
+    assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({i: score(x) for i, x in enumerate(asked)}, abs=1e-6)
+
+
 def test_next_symbols_sum_to_one(spark, sf):
     docs = table(spark, sf, "documents")
     model, _ = suffix_tree.train(docs, symbol_share=1e-3, context_share=1e-3, entry_share=1e-4)
-    assert len(model.levels) == 2 and len(model.levels[0]["log"]) and np.exp(model.root).sum() == pytest.approx(1, abs=1e-9)
+    assert 2 <= len(model.levels) <= 4 and len(model.levels[0]["log"]) and np.exp(model.root).sum() == pytest.approx(1, abs=1e-9)
     every = np.arange(model.symbols)
     for a, b in ((5, 6), (0, 10), (model.symbols - 1, model.symbols - 2), (2, 2)):
         seq = np.array([suffix_tree.BEGIN, a, b, 1]) if a else np.array([0, b, 1])
-        keys = [np.full(model.symbols, k[-1]) for k in model.contexts(seq, 2)]
+        keys = [np.full(model.symbols, k[-1]) for k in model.contexts(seq, len(model.levels))]
         assert np.exp(model.logs(keys, every)).sum() == pytest.approx(1, abs=1e-6)
 
 
@@ -205,7 +364,7 @@ def test_tree_grows_beyond_what_is_broadcast(spark, sf):
     # The same tree, once with all rows broadcast, and with none or some.
     near, far, some = (suffix_tree.train(docs, **low, broadcast_rows=n) for n in (10**6, 0, 100))
     assert near[0].tail is None and not len(far[0].levels[0]["log"])
-    assert all(0 < len(x["log"]) <= 100 for x in some[0].levels)
+    assert all(len(x["log"]) <= 100 for x in some[0].levels) and len(some[0].levels[0]["log"])
     assert far[0].tail.count() == sum(len(x["log"]) + len(x["back"]) for x in near[0].levels) > 1000
     a, b, c = ({r["doc_id"]: r["score"] for r in suffix_tree.scores(docs, *m).collect()} for m in (near, far, some))
     assert a == pytest.approx(b, abs=1e-6) and a == pytest.approx(c, abs=1e-6)
@@ -257,6 +416,18 @@ def test_batches(spark, sf, odd, nothing):
     assert packing.pack(odd).count() == len(ODD) and packing.pack(nothing).count() == 0
 
 
+def test_packing_of_long_texts_is_the_best(spark):
+    rng = random.Random(6)
+    lengths = rng.sample(range(2049, 60_000), 9)
+    rows = [(rng.choice([None, 1, 2]), n) for n in lengths for _ in range(rng.randint(1, 9))]
+    df = spark.createDataFrame(rows, "doc_id long, n long")
+    waste = lambda bounds: sum(min(b for b in bounds if b >= n) - n for _, n in rows)
+    for buckets in (2, 3, 4):
+        got = packing.pack(df, length=F.col("n"), buckets=buckets, group=3).toPandas()
+        best = min(waste([*cut, max(lengths)]) for cut in itertools.combinations(sorted(lengths)[:-1], buckets - 1))
+        assert (got.bucket_tokens - got.n_tokens).sum() == best and not got.duplicated(["batch", "slot"]).any()
+
+
 def test_bounds_are_the_longest_members(spark):
     lengths = [3, 5001, 5002, 70_001, 70_003, 1_000_001]
     df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long")
@@ -281,12 +452,12 @@ def _passages(docs, size):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("size", "shortest"), [(6, 2), (5, 9), (8, 3)])
-def test_passages_equal_brute_force(spark, nothing, size, shortest):
+@pytest.mark.parametrize(("size", "shortest", "broadcast_rows"), [(6, 2, 1 << 20), (5, 9, 0), (8, 2, 0), (8, 3, 5)])
+def test_passages_equal_brute_force(spark, nothing, size, shortest, broadcast_rows):
     rng = random.Random(size)
     docs = [(rng.choice([*range(40), None]), " ".join(rng.choice("ab") for _ in range(rng.randint(0, 14)))) for _ in range(60)] + [(3, None), (9, "a b a b a b a b\n a"), (9, "a b a b a b a b\n a")]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("at", F.lit(1))
-    got = substring_dedup.repeated_passages(df, size=size, shortest=shortest, with_text=True).collect()
+    got = substring_dedup.repeated_passages(df, size=size, shortest=shortest, with_text=True, broadcast_rows=broadcast_rows).collect()
     assert sorted((r["doc_id"] if r["doc_id"] is not None else 1 << 63, r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == _passages(docs, size)
     for r in got:
         assert r["kept_text"] is None or hashlib.sha256(r["kept_text"].encode()).hexdigest() == r["kept_sha256"]
@@ -295,7 +466,7 @@ def test_passages_equal_brute_force(spark, nothing, size, shortest):
 
 def test_long_copy_goes(odd):
     got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.repeated_passages(odd).collect()}
-    assert got[5] == 30_000 and got[4] == 0 and got[1] == 0
+    assert got[5] == N_LONG and got[4] == 0 and got[1] == 0
     kept = substring_dedup.without_passages(odd)
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "1", "2", "3", "4", "6", "7", "None"]
 
@@ -353,6 +524,58 @@ def test_similar_documents(spark):
     assert simhash.without_similar(df).count() == 80
 
 
+def _similar(rows, least=0.8, size=5):
+    """Least id by row of its group, of (id, text), by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        w = _tokens(text)[:-1]
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = 0
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] == sets[b] or both and both >= least * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+            links += 1
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(rows))], links
+
+
+def test_similar_documents_equal_brute_force(spark):
+    """Texts whose similarity lies around the threshold, in tiles of all sizes."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    docs = []
+    for _ in range(30):
+        text = rng.choices(words, k=rng.choice([3, 30, 120, 400]))
+        for _ in range(rng.randint(1, 9)):
+            near = [w if rng.random() > 0.018 else rng.choice(words) for w in text]
+            docs.append((len(docs), " ".join(near)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want, links = _similar(docs)
+    assert links > 50
+    for tiles in ({}, {"tile": 4, "set_tile": 300}):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(df, **tiles).collect()}
+        missed = sum(got[i] != k for i, k in enumerate(want))
+        assert missed <= 0.02 * len(docs)  # candidates have a recall; what links is exact
+        assert all(want[i] == want[k] for i, k in got.items())
+
+
+def test_rows_that_stay(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a"), (5, "a"), (5, "b"), (None, "a"), (None, "c"), (7, "d"), (7, "d"), (8, long), (9, long + " x"), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("gone_id", F.lit(1))
+    got = simhash.without_similar(df)
+    assert got.columns == df.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == [("1", "a"), ("3", ""), ("5", "b"), ("7", "d"), ("8", long), ("None", "c")]
+
+
 def test_odd_rows_of_simhash(odd, nothing):
     got = simhash.near_duplicates(odd).collect()
     by = {r["doc_id"]: r for r in got}
