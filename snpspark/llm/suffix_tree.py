@@ -7,8 +7,9 @@ occur once suggest; so the scores are those of one distribution over known and u
 
 The tree is grown level by level: for contexts of one symbol, then of two, up to `depth`, the next symbols are counted
 over the whole corpus. Contexts that occur `context_count` times are extended, and next symbols that occur `entry_count`
-times behind them are kept. The counts are absolute, so that symbols, contexts and entries grow with the corpus; where a
-share of all tokens (`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A
+times behind them are kept. These counts hold for a corpus of up to `growth` tokens and rise with the square root of what
+is beyond, so that symbols, contexts and entries grow with the corpus, but what is shuffled to count them stays in
+proportion to it; where a share of all tokens (`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A
 context is retained if its next symbols diverge from those of its suffix by at least `divergence` nats a token. Its kept
 entries are smoothed by an absolute discount; what is left is shared as in the suffix. A token is scored in the state of
 the longest retained suffix of what precedes it.
@@ -254,7 +255,7 @@ def _level(pairs: DataFrame, totals: DataFrame, root: DataFrame, lower: list[tup
 
 
 def train(
-    docs: DataFrame, text_col="text", *, depth=4, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, broadcast_rows=1 << 20
+    docs: DataFrame, text_col="text", *, depth=4, symbol_share=1e-4, context_share=1e-4, entry_share=1e-6, table_share=1e-6, divergence=0.02, symbol_count=1000, context_count=1000, entry_count=10, growth=25_000_000, broadcast_rows=1 << 20
 ) -> tuple[Model, DataFrame]:
     """The model of the texts, and (h, n): the counts of all words."""
     spark = docs.sparkSession
@@ -266,7 +267,8 @@ def train(
     ends = rows.count()
     total, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
     # Of the tables that come to the driver only the symbols' grows: a word for `symbol_count` tokens at most.
-    least = max(1.0, min(symbol_count, symbol_share * total))
+    rise = max(1.0, (total / growth) ** 0.5)
+    least = max(1.0, min(symbol_count * rise, symbol_share * total))
     words = columns(counts.where(F.col("n") >= min(least, max(1, table_share * total))).select("h", "n").orderBy("h"))
     below = counts.where(F.col("n") < least).groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("once"))
     shapes = columns(below.where(F.col("n") >= least).orderBy("shape"))
@@ -275,7 +277,7 @@ def train(
     model = Model(total, distinct, ends, (words[0].view(np.uint64), words[1]), (shapes[0].view(np.uint64), *shapes[1:]), rest, least)
     if not ends:
         return model, counts.select("h", "n")
-    often, kept = (max(2, min(c, share * total)) for c, share in ((context_count, context_share), (entry_count, entry_share)))
+    often, kept = (max(2, min(c * rise, share * total)) for c, share in ((context_count, context_share), (entry_count, entry_share)))
     there = np.flatnonzero(model.preceding >= often)
     totals = spark.createDataFrame(pa.table({"key": K.mix(there.astype(np.uint64) + K.U(1)).view(np.int64), "total": model.preceding[there]}), "key long, total long")
     finite = np.flatnonzero(np.isfinite(model.root))
