@@ -3,7 +3,7 @@
 Inputs: reference (contig, pos, ref_call, in_dup; contig_ord if contigs have an order of their own), cells (contig, pos,
 sample_ord, call, depth, prop; `line` where the first of repeated positions counts) and samples (sample_ord from 0,
 identifier, source). Cells are shuffled once, by position: repeated cells, grouping and the join with the reference all
-use that partitioning. Samples without a cell get X by reading the group's map, so no position x sample table is built.
+use that partitioning. Samples without a cell get X within the group's array, so no position x sample table is built.
 """
 
 from __future__ import annotations
@@ -40,13 +40,19 @@ def dense_cells(reference: DataFrame, cells: DataFrame, n_samples: int) -> DataF
     """reference with cells, an array of (call, depth, prop, there) in the order of the samples."""
     if "line" in cells.columns:
         cells = first_cells(cells)
-    entry = F.struct(F.col("sample_ord").cast("int").alias("key"), F.struct(F.upper("call").alias("call"), F.col("depth").cast("double").alias("depth"), F.col("prop").cast("double").alias("prop")).alias("value"))
-    grouped = cells.groupBy("contig", "pos").agg(F.map_from_entries(F.collect_list(entry)).alias("m_"))
-    rows = reference.join(grouped, ["contig", "pos"], "left")
+    value = F.struct(F.upper("call").alias("call"), F.col("depth").cast("double").alias("depth"), F.col("prop").cast("double").alias("prop"))
+    entry = F.struct(F.col("sample_ord").cast("int").alias("key"), value.alias("value"))
+    grouped = cells.groupBy("contig", "pos").agg(F.collect_list(entry).alias("m_"))
+    kind = "array<struct<key:int,value:struct<call:string,depth:double,prop:double>>>"
+    rows = reference.join(grouped, ["contig", "pos"], "left").withColumn("m_", F.coalesce("m_", F.array().cast(kind)))
     none = F.struct(F.lit("X").alias("call"), F.lit(None).cast("double").alias("depth"), F.lit(None).cast("double").alias("prop"))
-    at = lambda i: F.coalesce(F.try_element_at("m_", i), none)
-    every = F.transform(F.sequence(F.lit(0), F.lit(n_samples - 1)), at) if n_samples else F.array().cast("array<struct<call:string,depth:double,prop:double>>")
-    return rows.withColumn("cells", every).drop("m_")
+    # The samples that aren't there are added and all are sorted: no search for each sample.
+    every = F.sequence(F.lit(0), F.lit(n_samples - 1)) if n_samples else F.array().cast("array<int>")
+    absent = F.transform(F.array_except(every, F.transform("m_", lambda x: x["key"])), lambda k: F.struct(k.alias("key"), none.alias("value"))).cast(kind)
+    full = F.array_sort(F.concat("m_", absent))
+    twice = F.raise_error(F.concat(F.lit("several cells of one sample at "), "contig", F.lit(":"), F.col("pos").cast("string"))).cast(kind)
+    full = F.when(F.size("m_") + F.size(absent) == n_samples, full).otherwise(twice)
+    return rows.withColumn("cells", F.transform(full, lambda x: x["value"])).drop("m_")
 
 
 def positions(reference: DataFrame, cells: DataFrame, unfiltered: list[bool], *, min_depth=MIN_DEPTH, min_proportion=MIN_PROPORTION, missing="pass", extra=()) -> DataFrame:

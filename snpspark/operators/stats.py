@@ -56,22 +56,56 @@ def sample_stats(rows: DataFrame) -> DataFrame:
     return _cell_flags(rows).groupBy("sample_ord").agg(*(F.count_if(n).alias(n) for n in SAMPLE))
 
 
+def _flag_arrays(rows: DataFrame) -> DataFrame:
+    """The positions outside duplicated regions with f_, an array of each sample's seven booleans in their order."""
+    yes = lambda flags, i: F.substring(F.col(flags), i + 1, F.lit(1)).isin("Y", "-")
+
+    def flags(z, i):
+        called = ~z["calls"].isin("X", "N")
+        base = z["calls"].isin(*C.BASES)
+        sure = called & F.col("ref_base") & z["passed"]
+        values = [called, yes("cov_flags", i), yes("prop_flags", i), sure, sure & (z["calls"] == F.col("ref_call")), sure & base & (z["calls"] != F.col("ref_call")), sure & ~base]
+        return F.struct(*(F.coalesce(v, F.lit(False)).alias(n) for n, v in zip(SAMPLE, values)))
+
+    return rows.where(~F.col("in_dup")).select(F.transform(F.arrays_zip("calls", "passed"), flags).alias("f_"))
+
+
 def any_all_stats(rows: DataFrame, nicknames: DataFrame | None = None) -> DataFrame:
     """Positions where any and where all analyses have each property: scope (any or all) and counts.
 
     With nicknames (sample_ord, nickname) for each nickname; else over all samples. A position's cells lie in one row, so
-    the first grouping adds no shuffle over the second's needs than by position.
+    only sums are shuffled. The names of the samples, the matrix's columns, come to the driver.
     """
-    flags = _cell_flags(rows)
-    by = []
+    groups: dict = {None: None}
     if nicknames is not None:
-        flags, by = flags.join(F.broadcast(nicknames), "sample_ord"), ["nickname"]  # as many rows as there are samples
-    each = flags.groupBy("contig", "pos", *by).agg(*(f(n).alias(f"{k}_{n}") for n in SAMPLE for k, f in (("any", F.bool_or), ("all", F.bool_and))))
+        groups = {}
+        for r in nicknames.orderBy("sample_ord").collect():
+            groups.setdefault(r["nickname"], []).append(r["sample_ord"])
+    own = []
+    for name, members in groups.items():
+        cells = F.col("f_") if members is None else F.transform(F.array(*(F.lit(i) for i in members)), lambda i: F.get("f_", i))
+        has = lambda n: lambda c: c[n]
+        some = [F.exists(cells, has(n)).alias(f"any_{n}") for n in SAMPLE] + [F.forall(cells, has(n)).alias(f"all_{n}") for n in SAMPLE]
+        own.append(F.struct(F.lit(name).cast("string").alias("nickname"), *some))
+    by = [] if nicknames is None else ["nickname"]
+    if not own:
+        own = [F.struct(F.lit("").alias("nickname"), *(F.lit(False).alias(f"{k}_{n}") for k in ("any", "all") for n in SAMPLE))]
+    each = _flag_arrays(rows).select(F.explode(F.array(*own)).alias("s")).select("s.*").where("true" if groups else "false")
     sums = each.groupBy(*by).agg(*(F.count_if(f"{k}_{n}").alias(f"{k}_{n}") for k in ("any", "all") for n in SAMPLE))
     scopes = F.array(*(F.struct(F.lit(k).alias("scope"), *(F.col(f"{k}_{n}").alias(n) for n in SAMPLE)) for k in ("any", "all")))
     return sums.select(*by, F.explode(scopes).alias("s")).select(*by, "s.*")
 
 
+def passed_only(stats_: DataFrame, total: str = "was_called") -> DataFrame:
+    """Sample statistics as the older tool wrote them: with what passed and its percentage of the called positions, and
+    degenerate calls counted among neither references nor variants."""
+    out = [F.col(c) for c in stats_.columns if c not in SAMPLE]
+    out.append(F.col(total))
+    for c in ("passed_coverage_filter", "passed_proportion_filter", "quality_breadth", "called_reference", "called_snp", "called_degen"):
+        out += [F.col(c), C.percent(c, total).alias(f"{c} (%)")]
+    return stats_.select(*out)
+
+
 def failed_stats(stats: DataFrame) -> DataFrame:
     """Of the called positions how many failed each filter, and their percentage."""
     out = stats.select("sample_ord", "was_called", C.failed_of("was_called", "passed_coverage_filter").alias("failed_coverage"), C.failed_of("was_called", "passed_proportion_filter").alias("failed_proportion"))

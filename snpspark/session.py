@@ -16,9 +16,17 @@ SETTINGS = {
 }
 
 
+def _placed() -> bool:
+    """Whether the caller has said where to run: by spark-submit, the environment or a running session."""
+    said = "SPARK_REMOTE", "PYSPARK_GATEWAY_PORT", "MASTER", "SPARK_MASTER"
+    return any(x in os.environ for x in said) or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or SparkSession.getActiveSession() is not None
+
+
 def session(cores: int | None = None, **more: str) -> SparkSession:
-    cores = cores or os.cpu_count() or 1
-    builder = SparkSession.builder.appName("snpspark").config(map=SETTINGS | {"spark.sql.shuffle.partitions": str(cores)} | more)
-    if "SPARK_REMOTE" not in os.environ and "spark.master" not in more:
-        builder = builder.master(f"local[{cores}]")
+    """A session with these settings. The master and the number of shuffle partitions are set only on one machine; where
+    spark-submit, the environment or `more` names a master, that holds, and so do its settings."""
+    builder = SparkSession.builder.appName("snpspark").config(map=SETTINGS | more)
+    if not _placed() and "spark.master" not in more:
+        cores = cores or os.cpu_count() or 1
+        builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", more.get("spark.sql.shuffle.partitions", str(cores)))
     return builder.getOrCreate()
