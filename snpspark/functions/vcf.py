@@ -50,7 +50,7 @@ def call(ref, alt, gt) -> Column:
         F.when(alt == ".", first)
         .when(gt.startswith("."), "X")
         .when(F.coalesce(leading_int(gt), F.lit(0)) == 0, first)
-        .when((F.length(ref) > 1) & (F.substring(ref, 2, 1 << 20) == chosen), first)
+        .when((F.length(ref) > 1) & (F.substring(ref, F.lit(2), F.length(ref)) == chosen), first)
         .otherwise(F.coalesce(F.upper(F.substring(chosen, 1, 1)), F.lit("X")))
     )
 

@@ -19,9 +19,23 @@ def packed(rows: DataFrame, call="call", order="pos") -> DataFrame:
     return rows.groupBy("contig").agg(seq.alias("seq"))
 
 
-def exploded(sequences: DataFrame, name="contig", seq="seq", call="call") -> DataFrame:
-    """(contig, pos, call) of packed sequences, positions from 1."""
-    return sequences.select(F.col(name).alias("contig"), F.posexplode(F.split(F.col(seq), "")).alias("i", call)).where(F.col(call) != "").select("contig", (F.col("i") + 1).cast("long").alias("pos"), call)
+#: Letters of a sequence that one row holds while it is spread.
+PIECE = 1 << 16
+
+
+def exploded(sequences: DataFrame, name="contig", seq="seq", call="call", keep=()) -> DataFrame:
+    """(contig, pos, call) of packed sequences, positions from 1, with the columns `keep`.
+
+    A sequence is cut into pieces, by bytes and so without a walk, and the pieces are spread over the session's
+    partitions before their letters become rows.
+    """
+    whole = F.col(seq).cast("binary")
+    last = F.greatest(F.octet_length(seq) - 1, F.lit(0)) / PIECE
+    rows = sequences.where(F.length(seq) > 0).select(*keep, F.col(name).alias("contig"), whole.alias("b_"), F.explode(F.sequence(F.lit(0), F.floor(last).cast("int"))).alias("k_"))
+    piece = F.substring("b_", F.col("k_") * PIECE + 1, F.lit(PIECE)).cast("string")
+    rows = rows.select(*keep, "contig", "k_", piece.alias("s_")).repartition("contig", "k_")
+    letters = rows.select(*keep, "contig", "k_", F.posexplode(F.split("s_", "")).alias("i_", call)).where(F.col(call) != "")
+    return letters.select(*keep, "contig", (F.col("k_").cast("long") * PIECE + F.col("i_") + 1).alias("pos"), call)
 
 
 def sample_sequences(rows: DataFrame, identifiers: list[str], shown="calls", order=("contig_ord", "pos")) -> DataFrame:
@@ -57,6 +71,7 @@ def vcf_rows(rows: DataFrame, identifiers: list[str]) -> DataFrame:
 
 
 def vcf_header(contigs: list[tuple[str, int]], identifiers: list[str]) -> list[str]:
+    # The texts of a VCF's header as other programs expect them.
     lines = ["##fileformat=VCFv4.2", "##source=snpspark"]
     lines += [f'##contig=<ID="{c}",length={n}>' for c, n in contigs]
     lines += [f'##SAMPLE=<ID="{x}",Genomes="{x}",Mixture=1.0>' for x in identifiers]

@@ -192,6 +192,29 @@ def sample_any_all(spark, sf_dir):
     return stats.any_all_stats(_positions(spark, sf_dir))
 
 
+_PASSED_SQL = """, f as (select contig, pos, sample_ord, nickname, called as was_called, cov in ('Y', '-') as passed_coverage_filter, pf in ('Y', '-') as passed_proportion_filter,
+  sure and not in_dup as quality_breadth, sure and call = ref_call and not in_dup as called_reference, sure and base and call <> ref_call and not in_dup as called_snp,
+  sure and not base and not in_dup as called_degen from shown)"""
+
+
+@query(f"{_PASSED_SQL} select sample_ord, {_SUMS} from f group by sample_ord")
+def stats_passed(spark, sf_dir):
+    return stats.sample_stats(_positions(spark, sf_dir), passed=True)
+
+
+def _judged() -> str:
+    whole = lambda n: f"bool_or({n}) and bool_and({n} or not quality_breadth)" if n.startswith("called_") else f"bool_and({n})"
+    each = ", ".join(f"bool_or({n}) as any_{n}, {whole(n)} as all_{n}" for n in stats.SAMPLE)
+    sums = lambda s: ", ".join(f"count(*) filter ({s}_{n}) as {n}" for n in stats.SAMPLE)
+    return f"{_PASSED_SQL}, e as (select contig, pos, nickname, {each} from f group by nickname, contig, pos) select nickname, 'any' as scope, {sums('any')} from e group by nickname union all select nickname, 'all' as scope, {sums('all')} from e group by nickname"
+
+
+@query(_judged())
+def stats_judged(spark, sf_dir):
+    nicks = spark.createDataFrame(list(enumerate(NICKS)), "sample_ord int, nickname string")
+    return stats.any_all_stats(_positions(spark, sf_dir), nicks, passed=True, judged=True)
+
+
 @query(_scopes("nickname, "))
 def nickname_any_all(spark, sf_dir):
     nicks = spark.createDataFrame(list(enumerate(NICKS)), "sample_ord int, nickname string")
@@ -246,10 +269,10 @@ def keep_last(spark, sf_dir):
     return _keep(spark, sf_dir, "last")
 
 
-@query("select r.contig, c.pos, c.sample_call as ref_call, r.ref_call as expected from cells c join reference r on r.pos = c.pos where sample_ord = 0 and sample_call <> r.ref_call")
+@query("select r.contig, c.pos, c.sample_ord, c.sample_call as ref_call, r.ref_call as expected from cells c join reference r on r.pos = c.pos where sample_call <> r.ref_call")
 def ref_mismatch(spark, sf_dir):
-    rows = bridge.cells(spark, sf_dir).where("sample_ord = 0").select("contig", "pos", F.col("call").alias("ref_call"))
-    return positions.check_reference(bridge.reference(spark, sf_dir), rows).select("contig", "pos", "ref_call", "expected")
+    rows = bridge.cells(spark, sf_dir).select("contig", "pos", "sample_ord", F.col("call").alias("ref_call"))
+    return positions.check_reference(bridge.reference(spark, sf_dir), rows).select("contig", "pos", "sample_ord", "ref_call", "expected")
 
 
 @query(f", i as ({bridge.INTERVALS.format(part='part where p_size <= 5')}) select r.contig, r.pos, exists (select 1 from i where i.contig = r.contig and r.pos between i.start_pos and i.end_pos) as marked from reference r")

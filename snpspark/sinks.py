@@ -33,28 +33,39 @@ def _tabbed(df: DataFrame, order: list[str] = ()) -> DataFrame:
     return df.select(*order, F.concat_ws("\t", *text).alias("value"))
 
 
-def write_matrix(rows: DataFrame, kind: str, identifiers: list[str], path: str, single=True) -> None:
-    """rows: positions with contig_ord; kind: one of matrices.KINDS."""
+def write_matrix(rows: DataFrame, kind: str, identifiers: list[str], path: str, single=True, legacy=False) -> None:
+    """rows: positions with contig_ord; kind: one of matrices.KINDS. legacy: with the older pattern and its number."""
     chosen = matrices.matrix(rows, kind)
-    wide = matrices.wide(chosen, identifiers)
+    chosen = matrices.with_legacy_pattern(chosen) if legacy else chosen
+    wide = matrices.wide(chosen, identifiers, legacy and kind)
     names = wide.columns
     text = [F.coalesce(F.col("`" + c.replace("`", "``") + "`").cast("string"), F.lit("")) for c in names]
-    ordered = matrices.wide(chosen, identifiers).select(F.concat_ws("\t", *text).alias("value"), F.col("Contig").alias("contig"), F.col("Position").alias("o2"))
+    ordered = wide.select(F.concat_ws("\t", *text).alias("value"), F.col("Contig").alias("contig"), F.col("Position").alias("o2"))
     contigs = chosen.select("contig", F.col("contig_ord").alias("o1")).distinct()
     _lines(ordered.join(F.broadcast(contigs), "contig").select("o1", "o2", "value"), path, ["\t".join(names)], single)
 
 
-def write_stats(rows: DataFrame, samples: list[dict], general: str, by_sample: str) -> None:
-    """Two small tables: contigs (the whole genome first) and samples (any and all first, then by nickname)."""
+def write_table(df: DataFrame, path: str, order: tuple[str, ...] = (), single=True) -> None:
+    """Any table as tab-separated lines under its columns' names, in the order of some of them."""
+    lines = _tabbed(df.select(*(F.col(c).alias(f"o_{c}") for c in order), "*"), [f"o_{c}" for c in order])
+    _lines(lines, path, ["\t".join(df.columns)], single)
+
+
+def write_stats(rows: DataFrame, samples: list[dict], general: str, by_sample: str, older=False) -> None:
+    """Two small tables: contigs (the whole genome first) and samples (any and all first, then by nickname).
+
+    older: what passed counts in duplicated regions too, and the kinds of call hold for all samples that can be judged.
+    """
+    more = {"passed": True, "judged": True} if older else {}
     spark = rows.sparkSession
     table = stats.with_percents(stats.contig_stats(rows)).withColumnRenamed("contig", "Contig")
     _lines(_tabbed(table.withColumn("o1", F.col("Contig") != stats.WHOLE).withColumn("o2", F.col("Contig")), ["o1", "o2"]), general, ["\t".join(table.columns)])
     names = spark.createDataFrame([(i, s["nickname"], s["identifier"]) for i, s in enumerate(samples)], "sample_ord int, nickname string, identifier string")
     length = rows.count()
-    own = stats.sample_stats(rows).join(F.broadcast(names), "sample_ord").select("nickname", "identifier", F.lit(2).alias("o"), *stats.SAMPLE)
+    own = stats.sample_stats(rows, older).join(F.broadcast(names), "sample_ord").select("nickname", "identifier", F.lit(2).alias("o"), *stats.SAMPLE)
     scope = lambda df, nick, o: df.select(nick.alias("nickname"), F.concat(F.lit("["), "scope", F.lit("]")).alias("identifier"), F.when(F.col("scope") == "any", 0).otherwise(1).alias("o"), *stats.SAMPLE)
-    by_nick = scope(stats.any_all_stats(rows, names.select("sample_ord", "nickname")), F.col("nickname"), 0)
-    whole = stats.any_all_stats(rows)
+    by_nick = scope(stats.any_all_stats(rows, names.select("sample_ord", "nickname"), **more), F.col("nickname"), 0)
+    whole = stats.any_all_stats(rows, **more)
     top = whole.select(F.concat(F.lit("["), "scope", F.lit("]")).alias("nickname"), F.lit("").alias("identifier"), F.when(F.col("scope") == "any", -2).otherwise(-1).alias("o"), *stats.SAMPLE)
     every = own.unionByName(by_nick).unionByName(top).withColumn("length_", F.lit(length).cast("long"))
     out = stats.with_percents(every, "length_").drop("length_")
@@ -73,13 +84,17 @@ def write_sample_fasta(rows: DataFrame, identifiers: list[str], path: str, shown
     write_fasta(seqs, path, order=("ord",))
 
 
-def write_vcf(rows: DataFrame, lengths: list[tuple[str, int]], identifiers: list[str], path: str) -> None:
-    """rows: positions with contig_ord; lengths: the reference's contigs in order, with their lengths."""
+def write_vcf(rows: DataFrame, lengths: list[tuple[str, int]], identifiers: list[str], path: str, single=True) -> None:
+    """rows: positions with contig_ord; lengths: the reference's contigs in order, with their lengths.
+
+    A position on a contig that isn't among them is an error.
+    """
     table = exports.vcf_rows(rows, identifiers)
     text = F.concat_ws("\t", *(F.col("`" + c.replace("`", "``") + "`").cast("string") for c in table.columns))
     ranks = rows.sparkSession.createDataFrame([(c, i) for i, (c, _) in enumerate(lengths)], "`#CHROM` string, o1 int")
-    lines = table.join(F.broadcast(ranks), "#CHROM").select("o1", F.col("POS").alias("o2"), text.alias("value"))
-    _lines(lines, path, [*exports.vcf_header(lengths, identifiers), "\t".join(table.columns)])
+    unknown = F.raise_error(F.concat(F.lit("no length is known of the contig "), F.col("#CHROM"))).cast("int")
+    lines = table.join(ranks, "#CHROM", "left").select(F.coalesce("o1", unknown).alias("o1"), F.col("POS").alias("o2"), text.alias("value"))
+    _lines(lines, path, [*exports.vcf_header(lengths, identifiers), "\t".join(table.columns)], single)
 
 
 def write_ranges(intervals: DataFrame, path: str) -> None:

@@ -26,18 +26,15 @@ def sequences(spark: SparkSession, path, franken=False) -> DataFrame:
 
 
 def positions(spark: SparkSession, path, franken=False, call="call") -> DataFrame:
-    """(contig, contig_ord, pos, call), spread over the session's partitions before it is exploded."""
-    rows = sequences(spark, path, franken)
-    out = exploded(rows, call=call)
-    return out.join(F.broadcast(rows.select("contig", "contig_ord")), "contig") if call == "ref_call" else out
+    """(contig, pos, call) of the files' sequences, spread over the session's partitions; for a reference contig_ord too."""
+    return exploded(sequences(spark, path, franken), call=call, keep=("contig_ord",) if call == "ref_call" else ())
 
 
-def letters_only(seqs: DataFrame) -> DataFrame:
-    """Sequences of letters, dots and dashes alone; others are left out, as unreadable lines are."""
-    return seqs.where(F.col("seq").rlike(r"^[A-Za-z.\-]+$"))
+#: Fixed value: the letters that a sequence may have.
+ALPHABET = r"^[A-Za-z.\-*]*$"
 
 
-def check(seqs: DataFrame, alphabet=r"^[A-Za-z.\-*]*$") -> DataFrame:
+def check(seqs: DataFrame, alphabet=ALPHABET) -> DataFrame:
     if bad := seqs.where(~F.col("seq").rlike(alphabet)).head():
         raise MalformedFile(f"{bad['path']}: {bad['contig']}")
     return seqs

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import MalformedFile
@@ -35,11 +35,5 @@ def records(spark: SparkSession, paths: list[str], multi_sample=False, missing_h
 def samples_in(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, sample_name, column): the samples that the files' headers name."""
     heads = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value").where(F.col("value").startswith("#CHROM"))
-    names = F.slice(F.split(F.rtrim("value"), "\t"), 10, 1 << 20)
+    names = F.slice(F.split(F.rtrim("value"), "\t"), 10, F.greatest(F.size(F.split(F.rtrim("value"), "\t")) - 9, F.lit(0)))
     return heads.select("path", F.posexplode(names).alias("column", "sample_name"))
-
-
-def first_of_each(rows: DataFrame) -> DataFrame:
-    """The first record of each position in each file and sample."""
-    own = Window.partitionBy("path", "sample_name", "CHROM", "POS").orderBy("line")
-    return rows.withColumn("k_", F.row_number().over(own)).where("k_ = 1").drop("k_")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snpspark import cli, sinks
-from snpspark.errors import DuplicateSample, InvalidContigName, MalformedFile
+from snpspark.errors import DuplicateSample, InputError, InvalidContigName, MalformedFile, ReferenceCallMismatch
 from snpspark.functions import calls as C
 from snpspark.operators import association, merge, positions
 from snpspark.plans import commands
@@ -162,6 +162,10 @@ def test_assembly_and_duplicates(spark, run):
 def test_settings(tmp_path):
     plain = config.Settings("r.fasta", "d.txt", "m", "s", 10, 0.9, analyses=[config.Analysis("e.frankenfasta", "e", "nucmer", "", "fasta"), config.Analysis("e.vcf", "e1", "Bowtie2", "GATK")])
     assert config.read(config.write(plain)) == plain
+    # What the caller gives wins, also where it equals some default.
+    said = config.Settings("r.fasta", min_depth=15, min_proportion=0.95, include_all=True)
+    assert [getattr(config.merged(said, config.Settings(min_depth=10, min_proportion=0.9, include_all=False), []), k) for k in ("min_depth", "min_proportion", "include_all")] == [10, 0.9, False]
+    assert config.merged(said, config.Settings(), []).min_proportion == 0.95
     given = config.Settings(min_depth=5)
     out = config.merged(plain, given, [config.Analysis("e.vcf", "other")])
     assert out.min_depth == 5 and out.min_proportion == 0.9 and [a.name for a in out.analyses] == ["e", "other"]
@@ -211,3 +215,101 @@ def test_permutations_equal_a_loop(spark):
     got = association.permutation_test(rows, groups, 0.05, 20).first()
     assert got["hits"] == association.significant(rows, groups, 0.05) and got["mean_random"] == pytest.approx(sum(want) / 20)
     assert got["better"] == sum(x >= got["hits"] for x in want)
+
+
+def test_files_that_cannot_be_read(spark, run):
+    (run / "bare.vcf").write_text("chr1\t1\t.\tA\t.\t.\t.\t.\tGT\t0\n")
+    (run / "odd.frankenfasta").write_text(">chr1\nAC!GT\n")
+    ref = fasta.reference(spark, f"{run}/ref.fasta")
+    for name, source, error in (("bare.vcf", "vcf", MalformedFile), ("odd.frankenfasta", "fasta", MalformedFile), ("none.vcf", "vcf", InputError)):
+        files = [*settings(run).analyses, config.Analysis(f"{run}/{name}", "zz", source=source)]
+        with pytest.raises(error):
+            commands.load_cells(spark, ref, files)
+        cells, samples = commands.load_cells(spark, ref, files, failed_files="blank")
+        assert [s["identifier"] for s in samples] == ["asm", "one::Bowtie2,GATK", "two::Bowtie2,GATK", "zz"]
+        assert sorted(r["sample_ord"] for r in cells.select("sample_ord").distinct().collect()) == [0, 1, 2]
+
+
+def test_reference_is_checked(spark, run):
+    ref = fasta.reference(spark, f"{run}/ref.fasta")
+    commands.load_cells(spark, ref, settings(run).analyses, check_reference=True)
+    text = (run / "one-bowtie2-gatk.vcf").read_text().replace("chr1\t2\t.\tC", "chr1\t2\t.\tG")
+    (run / "one-bowtie2-gatk.vcf").write_text(text)
+    commands.load_cells(spark, ref, settings(run).analyses)
+    with pytest.raises(ReferenceCallMismatch, match="chr1:2"):
+        commands.load_cells(spark, ref, settings(run).analyses, check_reference=True)
+
+
+def test_several_samples_in_a_file(spark, run):
+    head = HEAD.rstrip("\n") + "\tS2\n"
+    rows = "".join(line("chr1", i, base, ".", 0, 20, "20").rstrip("\n") + "\t0:20:20\n" for i, base in enumerate("ACGT", 1))
+    (run / "both.vcf").write_text(head + rows)
+    ref = fasta.reference(spark, f"{run}/ref.fasta")
+    files = [config.Analysis(f"{run}/both.vcf", "both", "Bowtie2", "GATK")]
+    cells, samples = commands.load_cells(spark, ref, files, multi_sample=True)
+    assert [s["identifier"] for s in samples] == ["S1::Bowtie2,GATK", "S2::Bowtie2,GATK"] and cells.count() == 8
+    cells, samples = commands.load_cells(spark, ref, files)
+    assert len(samples) == 1 and cells.count() == 4
+
+
+def test_legacy_outputs(spark, run):
+    rows = commands.matrix(spark, settings(run), legacy=True, vcf=True, stats="passed")
+    best = [x.split("\t") for x in sinks.read_lines(spark, f"{run}/matrices/bestsnp.tsv")]
+    assert best[0][-2:] == ["Pattern", "Pattern#"] and best[1][-2:] == ["'1222'", "1"]
+    whole = sinks.read_lines(spark, f"{run}/matrices/allcallable.tsv")[0].split("\t")
+    assert "CallWasMade" not in whole and whole[-1] == "Pattern#"
+    vcf = [x.split("\t") for x in sinks.read_lines(spark, f"{run}/matrices/bestsnp.vcf") if not x.startswith("##")]
+    assert vcf[1][:5] == ["chr1", "4", ".", "T", "A"]
+    samples = {x.split("\t")[1]: x.split("\t") for x in sinks.read_lines(spark, f"{run}/stats/sample_stats.tsv")[1:]}
+    assert samples["two::Bowtie2,GATK"][2] == "22"
+    with pytest.raises(Exception, match="no length"):
+        sinks.write_vcf(rows, [("chr1", 14)], ["a", "b", "c"], f"{run}/x.vcf")
+
+
+def test_configured_run(spark, run):
+    text = f"""<NaspInputData><Options><RunName>r</RunName><OutputFolder>{run}/out</OutputFolder>
+    <Reference name="ref" path="{run}/ref.fasta"><FindDups>True</FindDups></Reference>
+    <Filters><CoverageFilter>10</CoverageFilter><ProportionFilter>0.9</ProportionFilter></Filters><JobSubmitter>NONE</JobSubmitter></Options>
+    <Files><VCFFolder path="{run}"><VCFFile sample="one">one-bowtie2-gatk.vcf</VCFFile></VCFFolder>
+    <ReadFolder path="/r"><ReadPair sample="p"><Read1Filename>a_1.fastq</Read1Filename><Read2Filename>a_2.fastq</Read2Filename></ReadPair></ReadFolder><AssemblyFolder path="/none"/></Files>
+    <ExternalApplications><Index/><Aligner name="BWA-mem" path="/usr/bin/bwa"><AdditionalArguments>-k 9</AdditionalArguments><JobParameters name="a"><NumCPUs>4</NumCPUs></JobParameters></Aligner></ExternalApplications></NaspInputData>"""
+    got = config.read_run(text)
+    assert (got.name, got.reference_name, got.find_dups, got.min_depth, got.submitter) == ("r", "ref", True, 10, "NONE")
+    assert got.reads == [("p", "/r/a_1.fastq", "/r/a_2.fastq")] and got.folders == [("assemblies", "/none")]
+    assert got.tools["Aligner"][0].arguments == "-k 9" and got.tools["Aligner"][0].job["cpus"] == "4"
+    rows = commands.run(spark, got)
+    assert rows.count() == 22 and rows.where("n_snp = 1").count() == 1
+    assert sinks.read_lines(spark, f"{run}/out/matrices/bestsnp.tsv")[0].split("\t")[2] == "one::pre-aligned,pre-called"
+
+
+def test_command_line(spark, run, monkeypatch):
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    (run / "coords.txt").write_text("chr1::4\n")
+    (run / "names.txt").write_text("asm\n")
+    (run / "in").mkdir()
+    (run / "in" / "asm.frankenfasta").write_text((run / "asm.frankenfasta").read_text())
+    m = f"{run}/m2/missingdata.tsv"
+    lines = [
+        "matrix --reference R/ref.fasta --matrix-folder R/m2 --folder R/in --min-depth 3", "export --type fasta M R/o1", "format-fasta R/ref.fasta R/o2", "matrix-to-fasta M R/o3", "filter-coordinates M R/coords.txt R/o4 --action remove",
+        "filter-distance M R/ref.fasta R/o5 --distance 2", "filter-genome M R/names.txt R/o6", "single M asm R/o7", "annotate M R/one-bowtie2-gatk.vcf R/o8",
+    ]
+    for k, argv in enumerate(lines):
+        assert cli.main(argv.replace(" M", f" {m}").replace("R/", f"{run}/").split()) == 0
+        assert list(run.glob(f"o{k}*")) or list(run.glob("m2"))
+
+
+def test_random_groups_that_are_the_true_one(spark):
+    groups = spark.createDataFrame([(0, 1), (1, 1), (2, 2), (3, 2)], "sample_ord int, phenotype int")
+    got = association.still_affected(groups, 12).collect()
+    assert len(got) == 12 and all(set(r["both"]) == set(r["affected"]) & {2, 3} and set(r["others"]) == set(r["affected"]) - {2, 3} for r in got)
+
+
+def test_a_given_master_holds(monkeypatch):
+    from snpspark import session as module
+
+    monkeypatch.setattr(module.SparkSession, "getActiveSession", classmethod(lambda cls: None))
+    for name in ("SPARK_REMOTE", "PYSPARK_GATEWAY_PORT", "MASTER", "SPARK_MASTER", "PYSPARK_SUBMIT_ARGS"):
+        monkeypatch.delenv(name, raising=False)
+    assert not module._placed()
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--master yarn pyspark-shell")
+    assert module._placed()
