@@ -140,12 +140,14 @@ class Model:
     @staticmethod
     def contexts(s: np.ndarray, k: int) -> list[np.ndarray]:
         """For 1 to k: the hash of so many symbols before each place; 0 where a row's begin would have to be crossed."""
-        key, ok, out = np.zeros(len(s), np.uint64), s != BEGIN, []
-        for j in range(1, k + 1):
-            back = np.concatenate([np.full(min(j, len(s)), BEGIN), s[: max(0, len(s) - j)]])
-            key = K.mix(key * _G + back.astype(np.uint64) + K.U(1))
-            out.append(np.where(ok, key, K.U(0)))
-            ok = ok & (back != BEGIN)
+        out = []
+        for j in range(k):
+            # A context is that of one symbol less before its last symbol, and that symbol.
+            shorter = out[-1][:-1] if j else np.zeros(len(s) - 1, np.uint64)
+            key = np.zeros(len(s), np.uint64)
+            key[1:] = _longer(shorter, s[:-1])
+            key[1:][(s[1:] == BEGIN) | (shorter == 0 if j else False)] = 0
+            out.append(key)
         return out
 
     def logs(self, keys: list[np.ndarray], x: np.ndarray, far: list | None = None) -> np.ndarray:
@@ -180,6 +182,21 @@ class Model:
         self.levels.append({"contexts": K.Lookup(contexts[0].view(np.uint64)), "back": contexts[1], "entries": K.Lookup(_entry(key.view(np.uint64), x)), "log": log})
 
 
+def _longer(key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The hash of the context that has x behind the symbols of `key` (0: none)."""
+    return K.mix(key * _G + x.astype(np.uint64) + K.U(1))
+
+
+def _grown(batches):
+    """(key, x, s1, ..., total): the context of which x comes `total` times behind `key`, and its own suffixes."""
+    for batch in batches:
+        values = dict(zip(batch.schema.names, (c.to_numpy(zero_copy_only=False) for c in batch.columns)))
+        x, total = values.pop("x"), values.pop("total")
+        shorter = [np.zeros(len(x), np.uint64), *(values[f"s{j}"].view(np.uint64) for j in range(1, len(values))), values["key"].view(np.uint64)]
+        *suffixes, key = (_longer(c, x) for c in shorter)
+        yield from _emit([key, *suffixes, total], ["key", *(f"s{j}" for j in range(1, len(suffixes) + 1)), "total"])
+
+
 def _entry(key: np.ndarray, x: np.ndarray) -> np.ndarray:
     return ~K.mix(key * _G + x.astype(np.uint64))  # inverted, since contexts are hashed alike
 
@@ -193,29 +210,24 @@ def _entries(batches):
 
 
 def _merged(parts: list[tuple]) -> tuple:
-    """Rows (key, x, ..., n) with the n of equal (key, x) added."""
-    cols = [np.concatenate(x) for x in zip(*parts)]
-    _, at, inv = np.unique(K.mix(cols[0] * _G + cols[1].astype(np.uint64)), return_index=True, return_inverse=True)
-    return (*(c[at] for c in cols[:-1]), np.bincount(inv, weights=cols[-1], minlength=len(at)).astype(np.int64))
+    """Rows (key, x, n) with the n of equal (key, x) added."""
+    key, x, n = (np.concatenate(c) for c in zip(*parts))
+    _, at, inv = np.unique(K.mix(key * _G + x.astype(np.uint64)), return_index=True, return_inverse=True)
+    return key[at], x[at], np.bincount(inv, weights=n, minlength=len(at)).astype(np.int64)
 
 
-def _next_symbols(batches, model: Model, k: int, last: bool, wanted: np.ndarray | None):
-    """(key, x, suffix keys, longer, n): counts of the symbol x behind a context of k symbols that is wanted (None: any).
-
-    longer is the context of k + 1 symbols that ends with x; the last level has none.
-    """
-    names, parts, fresh = _next_names(k, last), [], 0
+def _next_symbols(batches, model: Model, k: int, wanted: np.ndarray | None):
+    """(key, x, n): counts of the symbol x behind a context of k symbols that is wanted (None: any)."""
+    names, parts, fresh = ("key", "x", "n"), [], 0
     for batch in batches:
         for _, _, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
             s, _ = model.sequence(model.symbolise(h, shape)[2], first)
-            keys = model.contexts(s, k if last else k + 1)
-            ok = keys[k - 1] != 0
+            key = model.contexts(s, k)[-1]
+            ok = key != 0
             if wanted is not None:
-                ok &= K.marked(wanted, keys[k - 1])
-            ok = np.flatnonzero(ok)
-            more = [] if last else [np.concatenate([keys[k][1:], np.zeros(1, np.uint64)])[ok]]
-            parts.append(_merged([(keys[k - 1][ok], s[ok], *(x[ok] for x in keys[: k - 1]), *more, np.ones(len(ok)))]))
+                ok &= K.marked(wanted, key)
+            parts.append(_merged([(key[ok], s[ok], np.ones(np.count_nonzero(ok)))]))
             fresh += len(parts[-1][0])
             if fresh > HELD:
                 parts, fresh = [_merged(parts)], 0
@@ -227,17 +239,12 @@ def _next_symbols(batches, model: Model, k: int, last: bool, wanted: np.ndarray
     K.release()
 
 
-def _next_names(k: int, last: bool) -> list[str]:
-    return ["key", "x", *(f"s{j}" for j in range(1, k)), *([] if last else ["longer"]), "n"]
-
-
-def _level(pairs: DataFrame, totals: DataFrame, root: DataFrame, lower: list[tuple], divergence: float) -> tuple[DataFrame, DataFrame]:
+def _level(pairs: DataFrame, root: DataFrame, lower: list[tuple], divergence: float) -> tuple[DataFrame, DataFrame]:
     """Retained contexts (key, total, back) and their entries (key, x, n, log).
 
-    pairs: n times x came behind the context `key` with the suffixes s1, ...; totals: (key, total) of the contexts that
-    may be retained; root: (x, value); lower: what this function gave for the shorter contexts.
+    pairs: (key, x, n, total, s1, ...): n times x came behind one of the `total` contexts `key` with the suffixes s1, ...; root: (x, value); lower: what this function gave for the shorter contexts.
     """
-    rows = pairs.join(totals, "key").join(F.broadcast(root), "x")
+    rows = pairs.join(F.broadcast(root), "x")
     for j, (contexts, entries) in enumerate(lower, 1):
         of = contexts.select(F.col("key").alias(f"s{j}"), "back")
         # Contexts of one symbol are no more than the symbols, which are broadcast as well.
@@ -282,12 +289,11 @@ def train(
     root = spark.createDataFrame(pa.table({"x": finite, "value": model.root[finite]}), "x long, value double")
     wanted, lower, far = None, [], []
     for k in range(1, depth + 1):
-        held, last = sc.broadcast((model, wanted)), k == depth
-        names = _next_names(k, last)
-        pairs = rows.mapInArrow(lambda b, h=held, k=k, last=last: _next_symbols(b, h.value[0], k, last, h.value[1]), ", ".join(f"{c} long" for c in names))
-        pairs = pairs.groupBy("key", "x").agg(*(F.any_value(c).alias(c) for c in names[2:-1]), F.sum("n").alias("n"))
-        pairs = stored(pairs.where(F.col("n") >= kept))
-        contexts, entries = _level(pairs, F.broadcast(totals) if k == 1 else totals, root, lower, divergence)
+        held = sc.broadcast((model, wanted))
+        pairs = rows.mapInArrow(lambda b, h=held, k=k: _next_symbols(b, h.value[0], k, h.value[1]), "key long, x long, n long")
+        pairs = pairs.groupBy("key", "x").agg(F.sum("n").alias("n")).where(F.col("n") >= kept)
+        pairs = stored(pairs.join(F.broadcast(totals) if k == 1 else totals, "key"))
+        contexts, entries = _level(pairs, root, lower, divergence)
         near, close = most_frequent(contexts, "total", broadcast_rows), most_frequent(entries, "n", broadcast_rows)
         model.add(
             columns(contexts.where(F.col("total") >= near).select("key", "back").orderBy("key")),
@@ -297,9 +303,10 @@ def train(
             away = contexts.where(F.col("total") < near).select("key", F.col("back").alias("value"))
             far.append((away, entries.where(F.col("n") < close).mapInArrow(_entries, "key long, value double")))
         lower.append((contexts, entries))
-        if not last:
+        if k < depth:
             # A context is as often followed by something as it occurs, so the pairs have the longer ones' totals.
-            totals = stored(pairs.where((F.col("n") >= often) & (F.col("longer") != 0) & (F.col("x") != END)).groupBy(F.col("longer").alias("key")).agg(F.sum("n").alias("total")))
+            more = pairs.where((F.col("n") >= often) & (F.col("x") != END)).select("key", "x", *(f"s{j}" for j in range(1, k)), F.col("n").alias("total"))
+            totals = stored(more.mapInArrow(_grown, ", ".join(f"{c} long" for c in ["key", *(f"s{j}" for j in range(1, k + 1)), "total"])))
             wanted = marks(totals, F.col("key"))
             if not wanted.any():
                 break
