@@ -9,10 +9,11 @@ have no rows. Documents of exactly the same words have the same windows, so only
 definition the others lose all their words.
 
 At each level the documents of each span are counted (partial sums before the shuffle, so that a passage that many
-share is one row of each task). The spans with the most documents, at most `broadcast_rows`, are broadcast to where the
-documents' spans are, and so a common passage is never brought together in one task; all others are joined by shuffle,
-and a bit map of fixed size spares the shuffle of most spans that don't repeat. Texts are shuffled only of documents that
-have a hit.
+share is one row of each task). Spans that make up at least one in `broadcast_rows` of all places of repeated spans, which
+are no more than `broadcast_rows` whatever the input, are broadcast to where the documents' spans are, and so a common
+passage is never brought together in one task; all others are joined by shuffle, in small inputs as in large ones, and
+a bit map of fixed size spares the shuffle of most spans that don't repeat, until repeated spans fill it. Texts are
+shuffled only of documents that have a hit.
 
 Edge cases: a null or empty text has no words and loses none. A null id counts as larger than all others. Rows with the
 same id don't remove each other's words; repeated rows each give a row. Texts of any length are worked off whole.
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import bounded, columns, fresh, marks, most_frequent, stored, table
+from .common import bounded, columns, fresh, marks, stored, table
 
 LAST = (1 << 63) - 1
 
@@ -194,20 +195,21 @@ def _hits(found: DataFrame, last: bool, broadcast_rows: int) -> DataFrame:
     exploded = lambda df: df.select("doc", "body", F.explode(F.arrays_zip("at", *names)).alias("s")).select("doc", "body", "s.*")
     every = exploded(found).groupBy(*names).agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count("*").alias("n"))
     twice = stored(every.where("least < most").drop("most"))
-    cut = most_frequent(twice, "n", broadcast_rows)
+    places = twice.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    cut = places / broadcast_rows if broadcast_rows else LAST
     others = twice.where(F.col("n") < cut)
     near = columns(twice.where(F.col("n") >= cut).select(*names, "least"))
-    held = found.sparkSession.sparkContext.broadcast(Repeats(near, marks(others, F.shiftleft("h", 32)) if cut else None))
+    held = found.sparkSession.sparkContext.broadcast(Repeats(near, marks(others, F.shiftleft("h", 32)) if cut > 2 else None))
     kind = "doc long, body long, sure array<int>, at array<int>" + "".join(f", {c} array<long>" for c in names)
     split = found.select("doc", "body", "at", *names).mapInArrow(lambda b: _sorted_out(b, held, names), kind)
     hits = split.where("size(sure) > 0").select("doc", "body", "sure")
-    if cut:
+    if cut > 2:  # a repeated span has two places at least
         joined = exploded(split).join(others.drop("n"), names).where("doc > least" if last else "true")
         hits = hits.union(joined.select("doc", "body", F.array("at")))
     return hits.groupBy("doc", "body").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("sure")))).alias("at"))
 
 
-def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=10, with_text=False, broadcast_rows=1 << 20) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col="doc_id", text_col="text", *, size=50, shortest=10, with_text=False, broadcast_rows=1 << 16) -> DataFrame:
     """doc_id, body (its text's xxhash64), n_words, n_removed, kept_sha256 and kept_text, a row for each row of `docs`.
 
     kept_text is the kept words joined by a space; it is null where no word is removed, and everywhere unless
