@@ -212,6 +212,30 @@ def test_training_sample_is_bounded_and_ordered(spark):
     assert (models[0][0].table != models[0][1].table).any()
 
 
+def test_every_labelled_row_is_learnt_from(spark):
+    """Each text is one word of its own, so what the model has of it shows whether it was learnt from."""
+    words = [f"{i:03}word" for i in range(90)]
+    docs = spark.createDataFrame([(i, w, "en") for i, w in enumerate(words)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, toxic int")
+    start = toxicity.Model().table
+    for most in (70, 10**6):
+        model, _ = toxicity.train(docs, labels, steps=3, most_bytes=most)
+        for w in words:
+            own = toxicity.hashed(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0, 0]
+            assert (model.table[own] != start[own]).any()
+
+
+def test_learning_from_parts_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 200, (n, len(toxicity.STEMS))).astype(np.int32) for n in (0, 1, 2, 300, 41, 90)]
+    toxic = np.array([0, 1, 0, 1, 0, 1])
+    want = toxicity.Model().fit(texts, toxic, steps=20)
+    for part in (1, 7, 64):
+        monkeypatch.setattr(toxicity, "PART", part)
+        got = toxicity.Model().fit(texts, toxic, steps=20)
+        assert np.allclose(got.table, want.table, atol=1e-4) and np.allclose(got.filters, want.filters, atol=1e-4)
+
+
 def test_odd_rows_of_decontamination(spark, odd, nothing):
     items = spark.createDataFrame([(1, "A b C"), (2, None), (3, ""), (4, LONG[:4000]), (5, "a b c")], "item_id long, text string").withColumn("doc_id", F.lit(1))
     for limits in ({}, {"block": 100}, {"most_windows": 0}):
