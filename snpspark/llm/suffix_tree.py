@@ -6,7 +6,7 @@ symbol's own words share its probability by their counts, and it reserves as muc
 occur once suggest; so the scores are those of one distribution over known and unseen tokens.
 
 The tree is grown level by level: for contexts of one symbol, then of two, up to `depth`, the next symbols are counted
-over the whole corpus. Contexts that occur `context_count` times are extended, and next symbols that occur `entry_count`
+over the whole corpus; a symbol that is too rare behind a context's suffix is not counted behind the context. Contexts that occur `context_count` times are extended, and next symbols that occur `entry_count`
 times behind them are kept. The counts are absolute, so that symbols, contexts and entries grow with the corpus; where a
 share of all tokens (`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A
 context is retained if its next symbols diverge from those of its suffix by at least `divergence` nats a token. Its kept
@@ -40,6 +40,7 @@ from .common import columns, marks, most_frequent, stored, table
 
 DISCOUNT = 0.5
 SLICE = 1 << 19  # bytes of text whose arrays a worker holds at once
+GATHERED = 8 << 20  # bytes of counts whose contexts a worker merges at once
 HELD, EMITTED = 400_000, 1_000_000  # rows that a worker holds unmerged, and merged before it emits them
 BEGIN, END, RARE = 0, 1, 2  # symbols; the shapes and the frequent words follow
 _G = K.U(0x9E3779B97F4A7C15)
@@ -49,7 +50,18 @@ def _tokens(data: np.ndarray, offs: np.ndarray):
     """Hash and shape (a hash of the last three bytes) of each word, and each row's first word."""
     data = K.LOWER[data]
     starts, ends, first = K.words(data, offs)
-    return K.span_hashes(data, starts, ends, 3), K.span_hashes(data, np.maximum(starts, ends - 3), ends, 4), first
+    return K.span_hashes(data, starts, ends, 3), _shapes(data, starts, ends), first
+
+
+def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What K.span_hashes gives for the last three bytes with the seed 4, without a number for each byte."""
+    size = np.minimum(ends - starts, 3)
+    at = ends - size
+    out = K._PLACES[data[at]]
+    for k in (1, 2):
+        own = np.flatnonzero(size > k)
+        out[own] += K._PLACES[256 * k + data[at[own] + k].astype(np.int64)]
+    return K.mix(out + size.astype(np.uint64) * K._GOLD + K.U(4))
 
 
 def _counted(batches):
@@ -68,7 +80,7 @@ def _counted(batches):
             u, at, n = np.unique(h, return_index=True, return_counts=True)
             held.append((u, s[at], n))
             fresh += len(u)
-            if fresh > HELD:
+            if fresh > max(HELD, len(held[0][0])):
                 held, fresh = [merged()], 0
                 if len(held[0][0]) > EMITTED:
                     yield from _emit(held.pop())
@@ -216,48 +228,194 @@ def _merged(parts: list[tuple]) -> tuple:
     return key[at], x[at], np.bincount(inv, weights=n, minlength=len(at)).astype(np.int64)
 
 
-def _next_symbols(batches, model: Model, k: int, wanted: np.ndarray | None):
-    """(key, x, n): counts of the symbol x behind a context of k symbols that is wanted (None: any)."""
-    names, parts, fresh = ("key", "x", "n"), [], 0
+def _pair(key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return K.mix(key * _G + x.astype(np.uint64))
+
+
+def _varints(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers as bytes of seven bits each, of which the last of a number is below 128; and where each number starts (one more)."""
+    size = np.ones(len(v), np.int64)
+    for k in range(7, 64, 7):
+        size += v >> K.U(k) > 0
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.empty(at[-1], np.uint8)
+    for k in range(int(size.max(initial=0))):
+        own = np.flatnonzero(size > k)
+        out[at[own] + k] = (v[own] >> K.U(7 * k)).astype(np.uint8) & 127 | ((size[own] > k + 1) << 7).astype(np.uint8)
+    return out, at
+
+
+def _numbers(data: np.ndarray) -> np.ndarray:
+    last = np.flatnonzero(data < 128)
+    first = np.concatenate([[0], last[:-1] + 1])
+    place = np.arange(len(data)) - np.repeat(first, last - first + 1)
+    return np.add.reduceat((data & 127).astype(np.uint64) << (7 * place).astype(np.uint64), first) if len(last) else np.zeros(0, np.uint64)
+
+
+def _packed(key: np.ndarray, x: np.ndarray, n: np.ndarray):
+    """(key, pairs) of rows (key, x, n): a row for each context, with its x in order, each as the distance from the one before, and their n."""
+    order = np.lexsort((x, key))
+    for k in range(0, len(order), 200_000):
+        own = order[k : k + 200_000]
+        u, y = key[own], x[own].astype(np.int64)
+        start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        step = np.diff(y, prepend=0)
+        step[start] = y[start]
+        data, at = _varints(np.stack([step, n[own]], 1).astype(np.uint64).ravel())
+        offs = pa.array(np.append(at[2 * start], len(data)), pa.int32())
+        pairs = pa.Array.from_buffers(pa.binary(), len(start), [None, offs.buffers()[1], pa.py_buffer(data)])
+        yield pa.RecordBatch.from_arrays([pa.array(u[start].view(np.int64)), pairs], names=["key", "pairs"])
+
+
+def _unpacked(pairs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, x and n of what `_packed` gave."""
+    offs = np.frombuffer(pairs.buffers()[1], np.int32)[pairs.offset : pairs.offset + len(pairs) + 1].astype(np.int64)
+    data = np.frombuffer(pairs.buffers()[2], np.uint8)[offs[0] : offs[-1]] if pairs.buffers()[2] is not None else np.zeros(0, np.uint8)
+    first = np.concatenate([[0], np.cumsum(data < 128)])[offs - offs[0]] // 2
+    step, n = _numbers(data).astype(np.int64).reshape(-1, 2).T
+    row = K.row_of(first)
+    x = np.cumsum(step)
+    return row, x - np.concatenate([[0], x])[first[row]], n
+
+
+def _next_symbols(batches, model: Model, k: int, wanted: np.ndarray | None, shorter: np.ndarray | None):
+    """(key, pairs): counts of the symbols behind the contexts of k symbols that are wanted (None: any), as `_packed` gives
+    them. A symbol that is too rare behind the context's own suffix (whose pairs are in the bit map `shorter`) is too rare here."""
+    parts, fresh = [], 0
     for batch in batches:
         for _, _, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
             s, _ = model.sequence(model.symbolise(h, shape)[2], first)
-            key = model.contexts(s, k)[-1]
-            ok = key != 0
+            keys = model.contexts(s, k)
+            own = np.flatnonzero(keys[-1])
             if wanted is not None:
-                ok &= K.marked(wanted, key)
-            parts.append(_merged([(key[ok], s[ok], np.ones(np.count_nonzero(ok)))]))
-            fresh += len(parts[-1][0])
-            if fresh > HELD:
+                own = own[K.marked(wanted, keys[-1][own])]
+                own = own[K.marked(shorter, _pair(keys[-2][own], s[own]))]
+            parts.append((keys[-1][own], s[own], np.ones(len(own), np.int64)))
+            fresh += len(own)
+            if fresh > max(HELD, len(parts[0][0])):
                 parts, fresh = [_merged(parts)], 0
                 if len(parts[0][0]) > EMITTED:
-                    yield from _emit(parts.pop(), names)
+                    yield from _packed(*parts.pop())
     if parts:
-        yield from _emit(_merged(parts), names)
+        yield from _packed(*_merged(parts))
     parts.clear()
     K.release()
 
 
-def _level(pairs: DataFrame, root: DataFrame, lower: list[tuple], divergence: float) -> tuple[DataFrame, DataFrame]:
-    """Retained contexts (key, total, back) and their entries (key, x, n, log).
+def _lists(values, first: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values))
+
+
+def _gathered(batches, kept: float, root: np.ndarray | None):
+    """(key, total, s1, ..., x, n, value): the next symbols that occur `kept` times behind each context that has a total;
+    rows of counts and the row of the total come together, sorted by key. root: the values, null if None."""
+    held: list = []
+
+    def done(part):
+        names = part.schema.names
+        key = part["key"].to_numpy()
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        row, x, n = _unpacked(part["pairs"].combine_chunks().fill_null(b""))
+        group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        g, x, n = _merged([(group[row].astype(np.uint64), x, n)])
+        there = part["total"].is_valid().to_numpy()
+        known = np.full(len(start), -1)
+        known[group[there]] = np.flatnonzero(there)
+        ok = (n >= kept) & (known[g.astype(np.int64)] >= 0)
+        g, x, n = g[ok].astype(np.int64), x[ok], n[ok]
+        order = np.lexsort((x, g))
+        g, x, n = g[order], x[order], n[order]
+        own, first = np.unique(g, return_index=True)
+        for k in range(0, len(own), 1000):
+            cut = np.append(first, len(g))[k : k + 1001]
+            at = slice(cut[0], cut[-1])
+            fixed = part.select([c for c in names if c != "pairs"]).take(pa.array(known[own[k : k + 1000]])).combine_chunks()
+            out = [fixed[c].combine_chunks() for c in fixed.schema.names] + [_lists(x[at].astype(np.int32), cut - cut[0]), _lists(n[at], cut - cut[0])]
+            out.append(_lists(root[x[at]], cut - cut[0]) if root is not None else pa.nulls(len(cut) - 1, pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(out, names=[*fixed.schema.names, "x", "n", "value"])
+
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size > GATHERED:
+            part = pa.Table.from_batches(held)
+            key = part["key"].to_numpy()
+            whole = int(np.searchsorted(key, key[-1]))  # the last context may go on
+            if whole:
+                yield from done(part.slice(0, whole))
+            held = part.slice(whole).to_batches()
+            size = sum(x.nbytes for x in held)
+    if held and sum(len(x) for x in held):
+        yield from done(pa.Table.from_batches(held))
+    held.clear()
+    K.release()
 
-    pairs: (key, x, n, total, s1, ...): n times x came behind one of the `total` contexts `key` with the suffixes s1, ...; root: (x, value); lower: what this function gave for the shorter contexts.
+
+def _flat(batch: pa.RecordBatch, *names: str):
+    """The row's number and the entries of each list of a batch."""
+    lists = [batch.column(batch.schema.get_field_index(c)) for c in names]
+    sizes = lists[0].value_lengths().to_numpy()
+    return np.repeat(np.arange(len(sizes)), sizes), *(x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+
+
+def _judged(batches, divergence: float):
+    """The rows with `back`, null where the context isn't retained."""
+    for batch in batches:
+        row, n, value = _flat(batch, "n", "value")
+        total = batch.column(batch.schema.get_field_index("total")).to_numpy()
+        p = (n - DISCOUNT) / total[row]
+        sums = lambda x, row=row, rows=len(total): np.bincount(row, weights=x, minlength=rows)
+        left = lambda x: np.log(np.maximum(1 - x, 1e-12))
+        part = sums(p)
+        back = left(part) - left(sums(np.exp(value)))
+        gain = sums(p * (np.log(p) - value)) + (1 - part) * back
+        yield batch.append_column("back", pa.array(back, mask=gain < divergence))
+
+
+def _hashes(batches, by: str):
+    """The pairs (by, x) as hashes."""
+    for batch in batches:
+        row, x = _flat(batch, "x")
+        key = batch.column(batch.schema.get_field_index(by)).to_numpy().view(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(_pair(key[row], x).view(np.int64))], names=["h"])
+
+
+def _values(batches, needed: np.ndarray):
+    """(key, x, value): what each pair that may be needed is worth to the longer contexts."""
+    for batch in batches:
+        row, x, n, value = _flat(batch, "x", "n", "value")
+        key, total = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("key", "total"))
+        retained = batch.column(batch.schema.get_field_index("back")).is_valid().to_numpy(zero_copy_only=False)
+        own = np.flatnonzero(K.marked(needed, _pair(key.view(np.uint64)[row], x)))
+        row, x, n, value = (c[own] for c in (row, x, n, value))
+        value = np.where(retained[row], np.log((n - DISCOUNT) / total[row]), value)
+        yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(x), pa.array(value)], names=["key", "x", "value"])
+
+
+def _level(counted: DataFrame, totals: DataFrame, model: Model, lower: DataFrame | None, k: int, kept: float, divergence: float) -> DataFrame:
+    """A row for each context of k symbols with kept entries: (key, total, s1, ..., x, n, value, back). x, n: lists of the
+    next symbols; value: their logarithms in the suffix; back: null where the context isn't retained.
+
+    counted: (key, pairs); totals: (key, total, s1, ...): how often a context occurs, and its suffixes; lower: what this
+    function gave for the contexts of one symbol less. A pair is kept only if that of the suffix is, so all have their value there.
     """
-    rows = pairs.join(F.broadcast(root), "x")
-    for j, (contexts, entries) in enumerate(lower, 1):
-        of = contexts.select(F.col("key").alias(f"s{j}"), "back")
-        # Contexts of one symbol are no more than the symbols, which are broadcast as well.
-        rows = rows.join(F.broadcast(of) if j == 1 else of, f"s{j}", "left").join(entries.select(F.col("key").alias(f"s{j}"), "x", "log"), [f"s{j}", "x"], "left")
-        rows = rows.withColumn("value", F.col("value") + F.coalesce("back", F.lit(0.0)) + F.coalesce("log", F.lit(0.0))).drop("back", "log")
-    rows = stored(rows.select("key", "x", "n", "total", "value", ((F.col("n") - DISCOUNT) / F.col("total")).alias("p")))
-    sums = rows.groupBy("key").agg(
-        F.any_value("total").alias("total"), F.sum("p").alias("kept"), F.sum(F.exp("value")).alias("there"), F.sum(F.col("p") * (F.log("p") - F.col("value"))).alias("gain")
-    )
-    left = lambda c: F.greatest(1 - F.col(c), F.lit(1e-12))
-    sums = sums.withColumn("back", F.log(left("kept")) - F.log(left("there")))
-    contexts = stored(sums.where(F.col("gain") + (1 - F.col("kept")) * F.col("back") >= divergence).select("key", "total", "back"))
-    return contexts, stored(rows.join(contexts.select("key", "back"), "key").select("key", "x", "n", (F.log("p") - F.col("value") - F.col("back")).alias("log")))
+    fixed = ["key", "total", *(f"s{j}" for j in range(1, k))]
+    root = model.root if lower is None else None
+    none = F.lit(None).cast("long")
+    both = counted.select(*(F.col(c) if c == "key" else none.alias(c) for c in fixed), "pairs").union(totals.select(*fixed, F.lit(None).cast("binary").alias("pairs")))
+    schema = ", ".join(f"{c} long" for c in fixed) + ", x array<int>, n array<long>, value array<double>"
+    rows = both.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _gathered(b, kept, root), schema)
+    if lower is not None:
+        rows = stored(rows)
+        s = f"s{k - 1}"
+        needed = marks(rows.mapInArrow(lambda b: _hashes(b, s), "h long"), F.col("h"))
+        values = lower.mapInArrow(lambda b: _values(b, needed), "key long, x int, value double").withColumnRenamed("key", s)
+        one = rows.select(*fixed, F.explode(F.arrays_zip("x", "n")).alias("t")).select(*fixed, "t.x", "t.n").join(values, [s, "x"])
+        rows = one.groupBy("key").agg(*(F.any_value(c).alias(c) for c in fixed[1:]), F.collect_list(F.struct("x", "n", "value")).alias("t"))
+        rows = rows.select(*fixed, "t.x", "t.n", "t.value")
+    return stored(rows.mapInArrow(lambda b: _judged(b, divergence), schema + ", back double"))
 
 
 def train(
@@ -285,15 +443,14 @@ def train(
     often, kept = (max(2, min(c, share * total)) for c, share in ((context_count, context_share), (entry_count, entry_share)))
     there = np.flatnonzero(model.preceding >= often)
     totals = spark.createDataFrame(pa.table({"key": K.mix(there.astype(np.uint64) + K.U(1)).view(np.int64), "total": model.preceding[there]}), "key long, total long")
-    finite = np.flatnonzero(np.isfinite(model.root))
-    root = spark.createDataFrame(pa.table({"x": finite, "value": model.root[finite]}), "x long, value double")
-    wanted, lower, far = None, [], []
+    wanted, shorter, level, far = None, None, None, []
     for k in range(1, depth + 1):
-        held = sc.broadcast((model, wanted))
-        pairs = rows.mapInArrow(lambda b, h=held, k=k: _next_symbols(b, h.value[0], k, h.value[1]), "key long, x long, n long")
-        pairs = pairs.groupBy("key", "x").agg(F.sum("n").alias("n")).where(F.col("n") >= kept)
-        pairs = stored(pairs.join(F.broadcast(totals) if k == 1 else totals, "key"))
-        contexts, entries = _level(pairs, root, lower, divergence)
+        held = sc.broadcast((model, wanted, shorter))
+        counted = rows.mapInArrow(lambda b, h=held, k=k: _next_symbols(b, h.value[0], k, *h.value[1:]), "key long, pairs binary")
+        level = _level(counted, totals, model, level, k, kept, divergence)
+        contexts = level.where("back is not null").select("key", "total", "back")
+        pairs = level.select("key", "total", "back", *(f"s{j}" for j in range(1, k)), F.explode(F.arrays_zip("x", "n", "value")).alias("t"))
+        entries = pairs.where("back is not null").select("key", "t.x", "t.n", (F.log((F.col("t.n") - DISCOUNT) / F.col("total")) - F.col("t.value") - F.col("back")).alias("log"))
         near, close = most_frequent(contexts, "total", broadcast_rows), most_frequent(entries, "n", broadcast_rows)
         model.add(
             columns(contexts.where(F.col("total") >= near).select("key", "back").orderBy("key")),
@@ -302,18 +459,18 @@ def train(
         if near or close:
             away = contexts.where(F.col("total") < near).select("key", F.col("back").alias("value"))
             far.append((away, entries.where(F.col("n") < close).mapInArrow(_entries, "key long, value double")))
-        lower.append((contexts, entries))
         if k < depth:
             # A context is as often followed by something as it occurs, so the pairs have the longer ones' totals.
-            more = pairs.where((F.col("n") >= often) & (F.col("x") != END)).select("key", "x", *(f"s{j}" for j in range(1, k)), F.col("n").alias("total"))
+            more = pairs.where((F.col("t.n") >= often) & (F.col("t.x") != END)).select("key", "t.x", *(f"s{j}" for j in range(1, k)), F.col("t.n").alias("total"))
             totals = stored(more.mapInArrow(_grown, ", ".join(f"{c} long" for c in ["key", *(f"s{j}" for j in range(1, k + 1)), "total"])))
             wanted = marks(totals, F.col("key"))
             if not wanted.any():
                 break
+            shorter = marks(level.mapInArrow(lambda b: _hashes(b, "key"), "h long"), F.col("h"))
     if far:
         away, rare = (reduce(DataFrame.union, part) for part in zip(*far))
         model.marks = marks(away, F.col("key")), marks(rare, F.col("key"))
-        model.tail = stored(away.union(rare))
+        model.tail = away.union(rare)
     return model, counts.select("h", "n")
 
 

@@ -371,6 +371,30 @@ def test_scores_equal_a_plain_tree(spark):
     assert {r["doc_id"]: r["score"] for r in got} == pytest.approx({i: score(x) for i, x in enumerate(asked)}, abs=1e-6)
 
 
+def test_counts_of_next_symbols_are_packed_and_pruned(spark, sf):
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 2**64, 50, np.uint64)[rng.integers(0, 50, 3000)]
+    x, n = rng.integers(0, 1 << 40, 3000), rng.integers(1, 1 << 50, 3000)
+    got = []
+    for batch in suffix_tree._packed(key, x, n):
+        row, y, m = suffix_tree._unpacked(batch.column(1))
+        got += zip(batch.column(0).to_numpy().view(np.uint64)[row].tolist(), y.tolist(), m.tolist())
+    assert sorted(got) == sorted(zip(key.tolist(), x.tolist(), n.tolist()))
+    # Bit maps with nothing in them let nothing through, so a pair whose suffix has none isn't shuffled.
+    rows = table(spark, sf, "documents").select("text")
+    model, _ = suffix_tree.train(rows, depth=1, symbol_count=30)
+    batch = rows.toArrow().to_batches()
+    every, none = np.full(1 << 20, 2**64 - 1, np.uint64), np.zeros(1 << 20, np.uint64)
+    assert sum(len(b) for b in suffix_tree._next_symbols(batch, model, 2, every, every)) > 100
+    assert sum(len(b) for b in suffix_tree._next_symbols(batch, model, 2, every, none)) == 0
+
+
+def test_shapes_are_hashes_of_three_bytes():
+    data = np.frombuffer("a bb ccc dddd été x".encode(), np.uint8)
+    starts, ends, _ = suffix_tree.K.words(data, np.array([0, len(data)]))
+    assert (suffix_tree._shapes(data, starts, ends) == suffix_tree.K.span_hashes(data, np.maximum(starts, ends - 3), ends, 4)).all()
+
+
 def test_next_symbols_sum_to_one(spark, sf):
     docs = table(spark, sf, "documents")
     model, _ = suffix_tree.train(docs, symbol_share=1e-3, context_share=1e-3, entry_share=1e-4)
