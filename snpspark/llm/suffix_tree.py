@@ -6,12 +6,13 @@ symbol's own words share its probability by their counts, and it reserves as muc
 occur once suggest; so the scores are those of one distribution over known and unseen tokens.
 
 The tree is grown level by level: for contexts of one symbol, then of two, up to `depth`, the next symbols are counted
-over the whole corpus; a symbol that is too rare behind a context's suffix is not counted behind the context. Contexts that occur `context_count` times are extended, and next symbols that occur `entry_count`
-times behind them are kept. The counts are absolute, so that symbols, contexts and entries grow with the corpus; where a
-share of all tokens (`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A
-context is retained if its next symbols diverge from those of its suffix by at least `divergence` nats a token. Its kept
-entries are smoothed by an absolute discount; what is left is shared as in the suffix. A token is scored in the state of
-the longest retained suffix of what precedes it.
+over the whole corpus; a symbol that is too rare behind a context's suffix is not counted behind the context. Contexts
+that occur `context_count` times are extended, and next symbols that occur `entry_count` times behind them are kept. The
+counts are absolute, so that symbols, contexts and entries grow with the corpus; where a share of all tokens
+(`symbol_share`, `context_share`, `entry_share`) is less, as in a small corpus, that share holds. A context is retained
+if its next symbols diverge from those of its suffix by at least `divergence` nats a token. Its kept entries are smoothed
+by an absolute discount; what is left is shared as in the suffix. A token is scored in the state of the longest retained
+suffix of what precedes it.
 
 A token's logarithm is that of its symbol, plus for each retained context what the context adds to all symbols, plus for
 each kept entry what the entry adds to that. So contexts and entries are rows of a hash and a number, to be summed over
