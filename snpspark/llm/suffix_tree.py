@@ -33,8 +33,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import kernels as K
 from .common import columns, marks, most_frequent, stored, table
@@ -100,7 +103,7 @@ class Model:
     def __init__(self, total: int, distinct: int, ends: int, words, shapes, rest, least: float):
         """words: columns (h, n) of the table; shapes: (shape, n, distinct, once) of the words that are no symbols, for
         the shapes that are; rest: (n, distinct, once) of all others; least: tokens that make a symbol."""
-        self.total, self.bottom = total, total + 0.5 * (distinct + 1)
+        self.total, self.distinct, self.bottom = total, distinct, total + 0.5 * (distinct + 1)
         self.ends = ends
         self.words, self.counts = K.Lookup(words[0]), words[1]
         frequent = np.flatnonzero(words[1] >= least)
@@ -236,7 +239,7 @@ def _pair(key: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _varints(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers as bytes of seven bits each, of which the last of a number is below 128; and where each number starts (one more)."""
     size = np.ones(len(v), np.int64)
-    for k in range(7, 64, 7):
+    for k in range(7, int(v.max(initial=K.U(0))).bit_length(), 7):
         size += v >> K.U(k) > 0
     at = np.concatenate([[0], np.cumsum(size)])
     out = np.empty(at[-1], np.uint8)
@@ -248,9 +251,13 @@ def _varints(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _numbers(data: np.ndarray) -> np.ndarray:
     last = np.flatnonzero(data < 128)
-    first = np.concatenate([[0], last[:-1] + 1])
-    place = np.arange(len(data)) - np.repeat(first, last - first + 1)
-    return np.add.reduceat((data & 127).astype(np.uint64) << (7 * place).astype(np.uint64), first) if len(last) else np.zeros(0, np.uint64)
+    first = np.concatenate([[0], last[:-1] + 1])[: len(last)]
+    size = last - first
+    out = (data[first] & 127).astype(np.uint64)
+    for k in range(1, int(size.max(initial=0)) + 1):
+        own = np.flatnonzero(size >= k)
+        out[own] |= (data[first[own] + k] & 127).astype(np.uint64) << K.U(7 * k)
+    return out
 
 
 def _packed(key: np.ndarray, x: np.ndarray, n: np.ndarray):
@@ -408,15 +415,19 @@ def _level(counted: DataFrame, totals: DataFrame, model: Model, lower: DataFrame
     both = counted.select(*(F.col(c) if c == "key" else none.alias(c) for c in fixed), "pairs").union(totals.select(*fixed, F.lit(None).cast("binary").alias("pairs")))
     schema = ", ".join(f"{c} long" for c in fixed) + ", x array<int>, n array<long>, value array<double>"
     rows = both.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _gathered(b, kept, root), schema)
+    needed = None
     if lower is not None:
         rows = stored(rows)
         s = f"s{k - 1}"
-        needed = marks(rows.mapInArrow(lambda b: _hashes(b, s), "h long"), F.col("h"))
-        values = lower.mapInArrow(lambda b: _values(b, needed), "key long, x int, value double").withColumnRenamed("key", s)
+        needed = counted.sparkSession.sparkContext.broadcast(marks(rows.mapInArrow(lambda b: _hashes(b, s), "h long"), F.col("h")))
+        values = lower.mapInArrow(lambda b, held=needed: _values(b, held.value), "key long, x int, value double").withColumnRenamed("key", s)
         one = rows.select(*fixed, F.explode(F.arrays_zip("x", "n")).alias("t")).select(*fixed, "t.x", "t.n").join(values, [s, "x"])
         rows = one.groupBy("key").agg(*(F.any_value(c).alias(c) for c in fixed[1:]), F.collect_list(F.struct("x", "n", "value")).alias("t"))
         rows = rows.select(*fixed, "t.x", "t.n", "t.value")
-    return stored(rows.mapInArrow(lambda b: _judged(b, divergence), schema + ", back double"))
+    out = stored(rows.mapInArrow(lambda b: _judged(b, divergence), schema + ", back double"))
+    if needed:
+        needed.destroy()
+    return out
 
 
 def train(
@@ -449,6 +460,7 @@ def train(
         held = sc.broadcast((model, wanted, shorter))
         counted = rows.mapInArrow(lambda b, h=held, k=k: _next_symbols(b, h.value[0], k, *h.value[1:]), "key long, pairs binary")
         level = _level(counted, totals, model, level, k, kept, divergence)
+        held.destroy()  # the level is stored, and each executor would keep a copy on its disk
         contexts = level.where("back is not null").select("key", "total", "back")
         pairs = level.select("key", "total", "back", *(f"s{j}" for j in range(1, k)), F.explode(F.arrays_zip("x", "n", "value")).alias("t"))
         entries = pairs.where("back is not null").select("key", "t.x", "t.n", (F.log((F.col("t.n") - DISCOUNT) / F.col("total")) - F.col("t.value") - F.col("back")).alias("log"))
@@ -475,9 +487,96 @@ def train(
     return model, counts.select("h", "n")
 
 
-def _scored(batches, model: Model):
-    """Sums of each text over what is at hand; the other words' hashes with what an unseen one costs; hashes for the tail."""
+#: What the rows that are dealt by hash are, in the order in which a part takes them.
+WORDS, TAIL, ASKED, ASKED_TAIL, DOCUMENT = range(5)
+
+
+def _binary(data: np.ndarray, offs: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offs) - 1, [None, pa.array(offs, pa.int32()).buffers()[1], pa.py_buffer(data)])
+
+
+def _some(schema: pa.Schema, rows: int, **values) -> pa.RecordBatch:
+    """A batch of the schema; columns that aren't given are null, and a number stands for all rows."""
+    full = (values.get(f.name) for f in schema)
+    made = (pa.nulls(rows, f.type) if v is None else pa.array(np.full(rows, v), f.type) if np.isscalar(v) else v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in zip(schema, full))
+    return pa.RecordBatch.from_arrays(list(made), schema=schema)
+
+
+def _cut(u: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of hashes in order: the parts, by leading bits, that have some; and where each starts (one more)."""
+    part = (u >> K.U(64 - parts.bit_length() + 1)).astype(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(u) else np.zeros(0, np.int64)
+    return part[start], np.append(start, len(u))
+
+
+def _known(batches, parts: int, schema: pa.Schema, role: int):
+    """The rows (key, n) or (key, value) of a table, packed by parts."""
+    held: list[tuple] = []
+    fresh = 0
+
+    def packed():
+        u, n = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        order = np.argsort(u)
+        part, cut = _cut(u[order], parts)
+        more, at = _varints(n[order].astype(np.uint64)) if role == WORDS else (n[order].view(np.uint8), 8 * np.arange(len(n) + 1))
+        return _some(schema, len(part), part=part, role=role, a=_binary(u[order].view(np.uint8), 8 * cut), b=_binary(more, at[cut]))
+
+    for batch in batches:
+        held.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
+        fresh += len(batch)
+        if fresh > HELD:
+            fresh = 0
+            yield packed()
+    if fresh:
+        yield packed()
+
+
+def _asked(u: np.ndarray, row: np.ndarray, kind: np.ndarray, parts: int, schema: pa.Schema, **values) -> pa.RecordBatch:
+    """What a group of texts asks for, packed by parts. a: each hash; b: how often each is asked for and its kind, then the text of each time."""
+    order = np.argsort(u)
+    u, row = u[order], row[order]
+    start = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+    part, cut = _cut(u[start], parts)
+    ends = np.append(start, len(u))
+    own, at = _varints(np.stack([np.diff(ends), kind[order[start]]], 1).astype(np.uint64).ravel())
+    texts, to = _varints(row.astype(np.uint64))
+    at, to = at[2 * cut], to[ends[cut]]
+    both = np.concatenate([x for k in range(len(part)) for x in (own[at[k] : at[k + 1]], texts[to[k] : to[k + 1]])])
+    return _some(schema, len(part), part=part, a=_binary(u[start].view(np.uint8), 8 * cut), b=_binary(both, at + to), **values)
+
+
+def _told(a: bytes, b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes and kinds of a row that `_asked` gave, and for each time one is asked for its place among them and the text."""
+    u, numbers = np.frombuffer(a, np.uint64), _numbers(np.frombuffer(b, np.uint8)).astype(np.int64)
+    often, kind = numbers[: 2 * len(u)].reshape(-1, 2).T
+    return u, kind.astype(np.uint64), np.repeat(np.arange(len(u)), often), numbers[2 * len(u) :]
+
+
+def _scored(batches, model: Model, parts: int, schema: pa.Schema):
+    """For groups of texts: a row for each text with its sums over what is at hand, and what the group asks of each part:
+    the counts of its other words, and the values of contexts and entries that may be in the tail."""
     ln10 = np.log(10)
+    texts, words, keys, size, number = [], [], [], [0, 0], 0
+    task = TaskContext.get()
+    place = task.partitionId() if task else 0
+
+    def done():
+        nonlocal number
+        one = pa.Table.from_batches(texts).combine_chunks().to_batches()[0]
+        # The same texts in another order, as a repeated task may read them, are another group.
+        seen = K.mix(np.cumsum(K.mix(one.column("body").to_numpy().view(np.uint64) + np.arange(len(one), dtype=np.uint64)))).sum()
+        group = int(K.mix(np.array([seen], np.uint64) + K.mix(np.array([place << 32 | number], np.uint64) * _G)).view(np.int64)[0])
+        number += 1
+        values = {c: one.column(c) for c in one.schema.names if c != "body"}
+        yield _some(schema, len(one), part=(group + np.arange(len(one))) % parts, role=DOCUMENT, g=group, row=np.arange(len(one)), **values)
+        for role, asked in ((ASKED, words), (ASKED_TAIL, keys)):
+            if asked and sum(len(x[0]) for x in asked):
+                yield _asked(*(np.concatenate(x) for x in zip(*asked)), parts, schema, role=role, g=group)
+            asked.clear()
+        texts.clear()
+        size[:] = 0, 0
+
     for batch in batches:
         for lo, hi, data, offs in K.slices(batch, most=SLICE):
             h, shape, first = _tokens(data, offs)
@@ -494,51 +593,129 @@ def _scored(batches, model: Model):
             more: list[tuple] = []
             score = model.logs(model.contexts(s, max(1, len(model.levels))), s, more) / ln10
             score[s == BEGIN] = 0
-            at, keys = (np.concatenate(x) for x in zip(*more)) if more else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
-            order = np.argsort(at, kind="stable")
-            ends = np.concatenate([start[1:] - 1, [len(s)]])
-            tails = pa.array(np.concatenate([[0], np.searchsorted(at[order], ends)]), pa.int32())
+            at, far_keys = (np.concatenate(x) for x in zip(*more)) if more else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
             score = np.add.reduceat(score, start - 1) + total(inner)
             far = np.flatnonzero(~there)
-            lists = pa.array(np.searchsorted(far, first), pa.int32())
-            cost = (model.unseen[kind[far]] - model.known[kind[far]]).astype(np.float32)
-            out = [pa.array(n_tokens, pa.int64()), pa.array((total(there) + (model.ends > 0)).astype(np.int64)), pa.array(base), pa.array(score)]
-            out += [pa.ListArray.from_arrays(lists, pa.array(x)) for x in (h[far].view(np.int64), cost)]
-            out.append(pa.ListArray.from_arrays(tails, pa.array(keys[order].view(np.int64))))
-            keep = [batch.column(i).slice(lo, rows) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*keep, *out], names=["doc_id", "body", "n_tokens", "n_known", "base_score", "score", "h", "cost", "keys"])
+            tails = np.searchsorted(start - 1, at, side="right") - 1
+            words.append((h[far], (row[far] + size[0]).astype(np.int32), kind[far].astype(np.int32)))
+            keys.append((far_keys, (tails + size[0]).astype(np.int32), np.zeros(len(at), np.int32)))
+            asked = np.bincount(row[far], minlength=rows) + np.bincount(tails, minlength=rows)
+            known = (total(there) + (model.ends > 0)).astype(np.int64)
+            out = [batch.column(i).slice(lo, rows) for i in (0, 1)] + [pa.array(n_tokens, pa.int64()), pa.array(known), pa.array(base), pa.array(score), pa.array(asked, pa.int64())]
+            texts.append(pa.RecordBatch.from_arrays(out, names=["doc_id", "body", "n_tokens", "n_known", "base_score", "score", "asked"]))
+            size[:] = size[0] + rows, size[1] + len(far) + len(at)
+            if size[1] > HELD or size[0] > 65536:
+                yield from done()
+    if texts:
+        yield from done()
+    K.release()
+
+
+def _answers(batches, schema: pa.Schema):
+    """The texts' rows as they are, and what each group is told by each part (row). WORDS, a: for each time a word is asked
+    for the text and twice the word's count, or twice its kind and one if it doesn't occur; TAIL, a: the texts, b: the sum
+    of each. asked: how much was asked for.
+
+    The rows of a part come together, those of its tables first.
+    """
+    part, table, found = None, {}, {}
+    for batch in batches:
+        roles = batch.column("role").to_numpy()
+        out = batch.filter(pa.array(roles == DOCUMENT))
+        if len(out):
+            yield out.select(schema.names)
+        parts, groups, a, b = (batch.column(c) for c in ("part", "g", "a", "b"))
+        for i in np.flatnonzero(roles != DOCUMENT):
+            if parts[i].as_py() != part:
+                part, table, found = parts[i].as_py(), {WORDS: [], TAIL: []}, {}
+            x, y, role = a[i].as_py(), b[i].as_py(), int(roles[i])
+            if role in table:
+                values = _numbers(np.frombuffer(y, np.uint8)) if role == WORDS else np.frombuffer(y, np.float64)
+                table[role].append((np.frombuffer(x, np.uint64), values))
+                continue
+            kept = WORDS if role == ASKED else TAIL
+            if kept not in found:
+                u, v = (np.concatenate(c) for c in zip(*table[kept])) if table[kept] else (np.zeros(0, np.uint64), np.zeros(0, np.uint64 if kept == WORDS else float))
+                found[kept] = K.Lookup(u), np.append(v, v.dtype.type(0))
+            lookup, values = found[kept]
+            u, kind, at, text = _told(x, y)
+            value = values[lookup.find(u)]
+            if kept == WORDS:
+                code = np.where(value > 0, value * K.U(2), kind * K.U(2) + K.U(1))[at]
+                x, y = _varints(np.stack([text.astype(np.uint64), code], 1).ravel())[0], None
+            else:
+                sums = np.bincount(text, weights=value[at])
+                own = np.flatnonzero(sums)
+                x, y = _varints(own.astype(np.uint64))[0], [sums[own].tobytes()]
+            yield _some(schema, 1, role=kept, g=groups[i].as_py(), row=part, a=[x.tobytes()], b=y, asked=len(text))
+
+
+def _added(batches, cost: np.ndarray, schema: pa.Schema):
+    """The rows of texts with what their groups were told added; a group's rows come together. cost: of an unseen word, by kind."""
+    held: list[pa.RecordBatch] = []
+
+    def done(part: pa.Table):
+        part = part.sort_by([("role", "ascending"), ("row", "ascending")])
+        roles, told = part["role"].to_numpy(), part["asked"].to_numpy()
+        texts = part.filter(pa.array(roles == DOCUMENT)).combine_chunks()
+        if told[roles == DOCUMENT].sum() != told[roles != DOCUMENT].sum():
+            raise RuntimeError("texts came in another order when a task was repeated; store them before they are scored")
+        known, base, more = (np.zeros(len(texts)) for _ in range(3))
+        for i in np.flatnonzero(roles != DOCUMENT):
+            numbers = _numbers(np.frombuffer(part["a"][i].as_py(), np.uint8))
+            if roles[i] == TAIL:
+                more[numbers.astype(np.int64)] += np.frombuffer(part["b"][i].as_py(), np.float64) / np.log(10)
+                continue
+            text, code = numbers.astype(np.int64).reshape(-1, 2).T
+            unseen, n = code & 1 > 0, code >> 1
+            log = np.log10(np.where(unseen, 0, n) + 0.5)
+            for sums, value in ((known, ~unseen), (base, log), (more, np.where(unseen, cost[np.where(unseen, n, 0)], log))):
+                sums += np.bincount(text, weights=value, minlength=len(texts))
+        plus = {"n_known": known.astype(np.int64), "base_score": base, "score": more}
+        values = {c: (texts[c].to_numpy() + plus[c]) if c in plus else texts[c].combine_chunks() for c in schema.names}
+        yield _some(schema, len(texts), **values)
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        if held[0].column("g")[0] == batch.column("g")[-1]:
+            continue
+        part = pa.Table.from_batches(held)
+        cuts = np.flatnonzero(np.diff(part["g"].to_numpy())) + 1
+        for lo, hi in zip([0, *cuts[:-1]], cuts):
+            yield from done(part.slice(lo, hi - lo))
+        held = part.slice(cuts[-1]).combine_chunks().to_batches()  # the last group may go on
+    if held:
+        yield from done(pa.Table.from_batches(held))
+    held.clear()
     K.release()
 
 
 def scores(docs: DataFrame, model: Model, counts: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) for each row of `docs`."""
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score (both log10) for each row of `docs`.
+
+    Texts are scored in groups. What a group needs of the distributed tables it asks of parts of them, by leading bits of
+    the hashes, and is told for each text; hashes, counts and texts travel packed, and a text's own row is known by its
+    group and its place there.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = stored(rows.mapInArrow(lambda b: _scored(b, held.value), f"doc_id {kind}, body long, n_tokens long, n_known long, base_score double, score double, h array<long>, cost array<float>, keys array<long>"))
-    rare = found.select("doc_id", "body", F.explode(F.arrays_zip("h", "cost")).alias("t")).select("doc_id", "body", "t.h", "t.cost").join(counts, "h", "left")
-    log = F.log10(F.coalesce("n", F.lit(0)) + 0.5)
-    more = rare.groupBy("doc_id", "body").agg(
-        F.count("n").alias("known"), F.sum(log).alias("base"), F.sum(F.when(F.col("n").isNotNull(), log).otherwise(F.col("cost"))).alias("more")
-    )
+    parts = 64
+    while parts * 65536 < model.distinct:
+        parts *= 2
+    own = f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"
+    told = f"role int, g long, a binary, b binary, row int, asked long, {own}"
+    dealt, told_, own_ = (to_arrow_schema(StructType.fromDDL(x)) for x in (f"part int, {told}", told, own))
+    packed = lambda df, role: df.mapInArrow(lambda b: _known(b, parts, dealt, role), f"part int, {told}")
+    both = rows.mapInArrow(lambda b: _scored(b, held.value, parts, dealt), f"part int, {told}").union(packed(counts.select("h", "n"), WORDS))
     if model.tail is not None:
-        far = found.select("doc_id", "body", F.explode("keys").alias("key")).join(model.tail, "key").groupBy("doc_id", "body").agg(F.sum("value").alias("value"))
-        far = far.select("doc_id", "body", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("value") / float(np.log(10))).alias("more"))
-        more = more.union(far).groupBy("doc_id", "body").agg(*(F.sum(c).alias(c) for c in ("known", "base", "more")))
-    # Rows that are repeated come as one with their number, by which the sums over their words are divided.
-    one = found.groupBy("doc_id", "body").agg(F.count("*").alias("rows"), *(F.any_value(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
-    more = more.withColumnsRenamed({"doc_id": "d", "body": "b"})
-    out = one.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("body").eqNullSafe(F.col("b")), "left")
-    part = lambda c: F.coalesce(F.col(c) / F.col("rows"), F.lit(0))
-    return out.select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + part("known")).cast("long").alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + part("base")).alias("base_score"),
-        (F.col("score") + part("more")).alias("score"),
-        F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy_"),
-    ).drop("copy_")
+        both = both.union(packed(model.tail.select("key", "value"), TAIL))
+    answers = both.repartition("part").sortWithinPartitions("part", "role").mapInArrow(lambda b: _answers(b, told_), told)
+    cost = model.unseen - model.known
+    out = answers.repartition("g").sortWithinPartitions("g").mapInArrow(lambda b: _added(b, cost, own_), own)
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:

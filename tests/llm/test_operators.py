@@ -428,6 +428,51 @@ def test_what_is_kept_of_the_tree_does_not_depend_on_shares(spark):
     assert score[1] > 2 and score[2] < score[1] - 2
 
 
+def test_scoring_asks_and_is_told_in_few_bytes(spark, sf, monkeypatch):
+    made = []
+    broadcast = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: made.append(broadcast(self, x)) or made[-1])
+    texts = [r["text"] for r in table(spark, sf, "documents").select("text").orderBy("doc_id").collect()]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts) if i % 4], "doc_id long, text string")
+    model, counts = suffix_tree.train(docs, symbol_share=1.0, context_share=1.0, entry_share=1.0, symbol_count=30, context_count=20, entry_count=3, table_share=1.0, broadcast_rows=50)
+    # The models and bit maps of the levels are no longer kept on the executors' disks.
+    assert len(made) == 7 and not any(b._jbroadcast.isValid() for b in made)
+    asked = [*texts, "never never seenbefore never", "", None, texts[5], texts[5]]
+    rows = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    want = {r["doc_id"]: r for r in suffix_tree.scores(rows, model, counts).collect()}
+    # The same by hand, in many groups and few parts.
+    monkeypatch.setattr(suffix_tree, "HELD", 5000)
+    monkeypatch.setattr(suffix_tree, "SLICE", 10_000)
+    own = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    told = f"role int, g long, a binary, b binary, row int, asked long, {own}"
+    dealt, told, own = (suffix_tree.to_arrow_schema(suffix_tree.StructType.fromDDL(x)) for x in (f"part int, {told}", told, own))
+
+    source = rows.select("doc_id", F.xxhash64("text").alias("body"), "text").coalesce(1).orderBy("doc_id")
+    sent = list(suffix_tree._scored(source.toArrow().to_batches(), model, 4, dealt))
+    tables = [b for df, role in ((counts, suffix_tree.WORDS), (model.tail, suffix_tree.TAIL)) for b in suffix_tree._known(df.toArrow().to_batches(), 4, dealt, role)]
+    everything = suffix_tree.pa.Table.from_batches([*sent, *tables]).sort_by([("part", "ascending"), ("role", "ascending")])
+    answers = suffix_tree.pa.Table.from_batches(list(suffix_tree._answers(everything.to_batches(100), told))).sort_by("g")
+    got = suffix_tree.pa.Table.from_batches(list(suffix_tree._added(answers.to_batches(7), model.unseen - model.known, own))).to_pylist()
+    assert len(got) == len(asked) == len(want) and len(set(answers["g"].to_pylist())) > 10
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"]) == (w["n_tokens"], w["n_known"]) and (r["base_score"], r["score"]) == pytest.approx((w["base_score"], w["score"]), abs=1e-6)
+    never = want[len(texts)]
+    assert never["n_tokens"] == 5 and never["n_known"] == 1
+    # A row a word, with its hash, its cost and the text's id and digest, was 28 bytes.
+    one = suffix_tree.pa.Table.from_batches(sent)
+    one = one.filter(suffix_tree.pa.array(one["role"].to_numpy() != suffix_tree.DOCUMENT))
+    times = sum(len(suffix_tree._told(a.as_py(), b.as_py())[3]) for a, b in zip(one["a"], one["b"]))
+    size = sum(len(x.as_py()) for c in "ab" for x in one[c])
+    assert times > 30_000 and size < 14 * times
+    # What is told must belong to the texts as they were when it was asked for.
+    again = list(suffix_tree._scored(source.orderBy(F.desc("doc_id")).toArrow().to_batches(), model, 4, dealt))
+    texts_of = lambda x, keep: x.filter(suffix_tree.pa.array((x["role"].to_numpy() == suffix_tree.DOCUMENT) == keep))
+    mixed = suffix_tree.pa.concat_tables([texts_of(suffix_tree.pa.Table.from_batches(again).select(told.names), True), texts_of(answers, False)]).sort_by("g")
+    with pytest.raises(RuntimeError, match="another order"):
+        list(suffix_tree._added(mixed.to_batches(), model.unseen - model.known, own))
+
+
 def test_odd_rows_of_scoring(odd, nothing):
     for part in (odd, nothing, odd.where("doc_id = 3")):
         model, counts = suffix_tree.train(part)
