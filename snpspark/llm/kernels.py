@@ -149,29 +149,23 @@ class Lookup:
     """Places of 64-bit hashes in a fixed set, without a search: a table by their leading bits, then a few steps."""
 
     def __init__(self, keys: np.ndarray):
-        self.order = np.argsort(keys, kind="stable")
-        self.keys = keys[self.order]
+        order = np.argsort(keys, kind="stable")
+        # One more key, the largest, at which a search ends.
+        self.keys = np.append(keys[order], U(2**64 - 1))
+        self.order = np.append(order, -1).astype(np.int32)
         bits = max(1, int(np.ceil(np.log2(len(keys) + 1))))
         self.shift = U(64 - bits)
-        self.first = np.searchsorted(self.keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.first = np.searchsorted(self.keys[:-1] >> self.shift, np.arange(1 << bits, dtype=np.uint64)).astype(np.int32)
 
     def find(self, q: np.ndarray) -> np.ndarray:
         """The index that each key had, or -1."""
-        out = np.full(len(q), -1, np.int32)
-        if not len(self.keys):
-            return out
-        top = (q >> self.shift).astype(np.int64)
-        at, end = self.first[top], self.first[top + 1]
-        live = np.flatnonzero(at < end)
+        at = self.first[(q >> self.shift).view(np.int64)]
+        live = np.flatnonzero(self.keys[at] < q)
         while len(live):
-            own = at[live]
-            hit = self.keys[own] == q[live]
-            out[live[hit]] = self.order[own[hit]]
-            own = own + 1
-            more = ~hit & (own < end[live])
+            own = at[live] + 1
             at[live] = own
-            live = live[more]
-        return out
+            live = live[self.keys[own] < q[live]]
+        return np.where(self.keys[at] == q, self.order[at], np.int32(-1))
 
 
 def marked(marks: np.ndarray, keys: np.ndarray) -> np.ndarray:

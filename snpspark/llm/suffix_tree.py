@@ -68,6 +68,13 @@ def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return K.mix(out + size.astype(np.uint64) * K._GOLD + K.U(4))
 
 
+def _equal(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal hashes come together, and where each begins there."""
+    order = np.argsort(h)
+    u = h[order]
+    return order, np.flatnonzero(np.append(True, u[1:] != u[:-1])) if len(u) else order
+
+
 def _counted(batches):
     """(h, shape, n) of a partition's words."""
     held: list[tuple] = []
@@ -75,15 +82,17 @@ def _counted(batches):
 
     def merged():
         h, s, n = (np.concatenate(x) for x in zip(*held))
-        u, at, inv = np.unique(h, return_index=True, return_inverse=True)
-        return u, s[at], np.bincount(inv, weights=n, minlength=len(u)).astype(np.int64)
+        order, start = _equal(h)
+        at = order[start]
+        return h[at], s[at], np.add.reduceat(n[order], start) if len(at) else n
 
     for batch in batches:
         for _, _, data, offs in K.slices(batch, most=SLICE):
             h, s, _ = _tokens(data, offs)
-            u, at, n = np.unique(h, return_index=True, return_counts=True)
-            held.append((u, s[at], n))
-            fresh += len(u)
+            order, start = _equal(h)
+            at = order[start]
+            held.append((h[at], s[at], np.diff(np.append(start, len(h)))))
+            fresh += len(at)
             if fresh > max(HELD, len(held[0][0])):
                 held, fresh = [merged()], 0
                 if len(held[0][0]) > EMITTED:
@@ -228,8 +237,9 @@ def _entries(batches):
 def _merged(parts: list[tuple]) -> tuple:
     """Rows (key, x, n) with the n of equal (key, x) added."""
     key, x, n = (np.concatenate(c) for c in zip(*parts))
-    _, at, inv = np.unique(K.mix(key * _G + x.astype(np.uint64)), return_index=True, return_inverse=True)
-    return key[at], x[at], np.bincount(inv, weights=n, minlength=len(at)).astype(np.int64)
+    order, start = _equal(_pair(key, x))
+    at = order[start]
+    return key[at], x[at], np.add.reduceat(n[order], start) if len(at) else n
 
 
 def _pair(key: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -260,9 +270,19 @@ def _numbers(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ordered(key: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The order by key and then by x, which isn't negative; faster than np.lexsort where a key's number and x fit into 63 bits."""
+    order, start = _equal(key)
+    bits = int(x.max(initial=0)).bit_length()
+    if bits + len(start).bit_length() > 63:
+        return np.lexsort((x, key))
+    number = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+    return order[np.argsort(number << bits | x[order])]
+
+
 def _packed(key: np.ndarray, x: np.ndarray, n: np.ndarray):
     """(key, pairs) of rows (key, x, n): a row for each context, with its x in order, each as the distance from the one before, and their n."""
-    order = np.lexsort((x, key))
+    order = _ordered(key, x)
     for k in range(0, len(order), 200_000):
         own = order[k : k + 200_000]
         u, y = key[own], x[own].astype(np.int64)

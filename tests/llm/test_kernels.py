@@ -1,3 +1,4 @@
+import collections
 import re
 
 import numpy as np
@@ -6,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from snpspark.llm import kernels as K
+from snpspark.llm import suffix_tree
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet=" \t\n\r\x0b\x0cabABé|ñ\u2028\xa0", max_size=30)), min_size=1, max_size=6)
 
@@ -48,3 +50,28 @@ def test_sliced_and_large_arrays():
         col = pa.array(["a", None, "bc", ""], kind)[1:]
         data, offs = K.column(pa.RecordBatch.from_arrays([col], names=["text"]))
         assert bytes(data) == b"bc" and offs.tolist() == [0, 0, 2, 2]
+
+
+def test_lookup_finds_first_places_of_any_keys():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 900):
+        keys = rng.integers(0, 2**64, n, np.uint64)
+        if n > 2:
+            keys[[5, 9]], keys[0], keys[1] = keys[7], 2**64 - 1, 0
+        asked = np.concatenate([keys, rng.integers(0, 2**64, 500, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        place = {}
+        for i, k in enumerate(keys.tolist()):
+            place.setdefault(k, i)
+        assert K.Lookup(keys).find(asked).tolist() == [place.get(k, -1) for k in asked.tolist()]
+
+
+def test_packed_orders_and_merges_equal_plain_ones():
+    rng = np.random.default_rng(5)
+    for n, top in ((0, 5), (1, 5), (3000, 40), (3000, 1 << 62)):
+        key, x = rng.integers(0, 2**64, 60, np.uint64)[rng.integers(0, 60, n)], rng.integers(0, top, n)
+        own, plain = suffix_tree._ordered(key, x), np.lexsort((x, key))
+        assert (key[own] == key[plain]).all() and (x[own] == x[plain]).all()
+        u, y, m = suffix_tree._merged([(key, x, np.ones(n, np.int64))])
+        assert dict(zip(zip(u.tolist(), y.tolist()), m.tolist())) == collections.Counter(zip(key.tolist(), x.tolist())) and len(u) == len(set(zip(u.tolist(), y.tolist())))
+    for v in ([], [0], [127, 128, 0, 1 << 40, 2**64 - 1, 5]):
+        assert suffix_tree._numbers(suffix_tree._varints(np.array(v, np.uint64))[0]).tolist() == v
